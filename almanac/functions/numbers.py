@@ -6,9 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Spellings of numbers in text files (fixed values).
+WHOLE = r"^\s*[+-]?\d+\s*$"
+DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+
+
 def to_number(col: Column) -> Column:
-    """Text to double; anything unreadable becomes NULL instead of raising."""
-    return F.trim(col.cast("string")).try_cast("double")
+    """Text to double; anything that is not a plain number becomes NULL instead of raising."""
+    text = F.trim(col.cast("string"))
+    endless = F.when(text.startswith("-"), float("-inf")).otherwise(float("inf"))
+    return F.when(text.rlike(DECIMAL), text.try_cast("double")).when(text.rlike(INFINITE), endless)
 
 
 def percent_change(current: Column, base: Column) -> Column:
