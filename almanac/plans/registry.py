@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from almanac.plans import health_oracle, health_queries, lake_queries, retail_oracle, retail_queries
+from almanac.plans import health_oracle, health_queries, lake_oracle, lake_queries, retail_oracle, retail_queries
 
 _QUERIES = [retail_queries.QUERIES, health_queries.QUERIES, lake_queries.QUERIES]
-_ORACLES = [retail_oracle.ORACLE, health_oracle.ORACLE]
+_ORACLES = [retail_oracle.ORACLE, health_oracle.ORACLE, lake_oracle.ORACLE]
 
 
 def queries() -> dict:

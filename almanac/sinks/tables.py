@@ -22,7 +22,10 @@ NOTICE_EXPORT = [
 
 
 def write_csv(df: DataFrame, path: str, timestamps: str | None = None) -> str:
-    options = {"header": "true", "escape": '"'}
+    options = {
+        "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
     if timestamps:
         options |= {"timestampFormat": timestamps, "timestampNTZFormat": timestamps}
     df.write.mode("overwrite").options(**options).csv(path)
