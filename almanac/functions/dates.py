@@ -10,24 +10,25 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date shapes accepted by the date rule, in order of preference (fixed values).
-DATE_FORMATS = [
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "d/M/yyyy",
-    "d/M/yyyy H:mm",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "MMM d yyyy",
-    "MMM d, yyyy",
-    "d MMM yyyy",
+# Date texts accepted by the date rule: the shape of the text and the format that reads it
+# (fixed values). The first format that matches and reads wins.
+DATE_SHAPES = [
+    (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
+    (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}", "yyyy-MM-dd HH:mm"),
+    (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", "yyyy-MM-dd HH:mm:ss"),
+    (r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+    (r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}(Z|[+-]\d{2}:\d{2})", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"),
+    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}", "M/d/yyyy H:mm"),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}", "d/M/yyyy H:mm"),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}", "M/d/yyyy H:mm:ss"),
+    (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
+    (r"\d{8}", "yyyyMMdd"),
+    (r"[A-Z][a-z]{2} \d{1,2} \d{4}", "MMM d yyyy"),
+    (r"[A-Z][a-z]{2} \d{1,2}, \d{4}", "MMM d, yyyy"),
+    (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
 ]
 
 # Shapes tried for a whole invoice-date column, month first (fixed values).
@@ -43,10 +44,17 @@ INVOICE_FORMATS = [
 DAY_FIRST_FORMATS = ["d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "d/M/yyyy"]
 
 
-def parse_date_text(col: Column, formats: list[str] | None = None) -> Column:
-    """First declared format that reads the text, else NULL."""
+def parse_date_text(col: Column) -> Column:
+    """The date in any of the declared shapes, else NULL.
+
+    A failed read is costly, so only formats that fit the shape of the text are tried.
+    """
     text = F.trim(col)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats or DATE_FORMATS])
+    reads = [
+        F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(fmt)))
+        for shape, fmt in DATE_SHAPES
+    ]
+    return F.coalesce(*reads)
 
 
 def parse_utc(col: Column) -> Column:

@@ -13,12 +13,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.operators.quality import DEFAULT_RULES, Rule, column_type, profile_counted, rule_issues
+from almanac.operators.quality import (
+    DEFAULT_RULES,
+    Rule,
+    add_issues,
+    column_type,
+    flagged,
+    profile_counted,
+)
 from almanac.session import checkpointed
 from almanac.sources.csv import CELLS, blank_na
 
 # Position of the pseudo cell that carries the scan range of a line.
 _RANGE = -1
+# Column entries (about 50 bytes each) up to which the file layouts are broadcast.
+MOST_BROADCAST_ENTRIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -122,17 +131,17 @@ def check_files(lines: DataFrame, rules: list[Rule] | None = None) -> FileQualit
     ranges = _ranges(counted)
     sizes = ranges.groupBy("file").agg((F.sum("lines") - 1).alias("num_rows"))
     headers = _headers(counted)
-    columns = _columns(counted, headers, sizes)
+    columns = checkpointed(_columns(counted, headers, sizes))
     layout = _layout(columns)
+    # a layout row holds one entry per column, so the entries bound the size to broadcast;
+    # beyond that the join is left to the runtime, which splits a file with many lines
+    entries = columns.count()
+    small = F.broadcast(layout) if entries <= MOST_BROADCAST_ENTRIES else layout
 
-    found: list[Column] = []
-    for rule in rules:
-        value, numeric = _cell(rule.column)
-        found += rule_issues(rule, value, numeric)
-    placed = lines.join(layout, "file").withColumn("issues", F.array_compact(F.array(*found)))
-    flagged = placed.where(F.size("issues") > 0).select("file", "block", "seq", "issues")
+    placed = add_issues(lines.join(small, "file"), rules, [_cell(r.column) for r in rules])
+    found = flagged(placed.select("file", "block", "seq", "issues"))
     issues = checkpointed(
-        flagged.join(ranges, ["file", "block"])
+        found.join(ranges, ["file", "block"])
         .withColumn("row_index", F.col("before") + F.col("seq") - F.col("first") - 1)
         .where("row_index >= 0")
         .select("file", "row_index", "issues")

@@ -59,45 +59,75 @@ def issue(column: str, kind: str, value: Column | None = None, expected: str | N
     )
 
 
-def whole_part(value: Column, numeric: Column) -> Column:
+def cut_number(value: Column) -> Column:
+    """The whole part of a number or boolean in text, NULL if it has none."""
+    number = F.when(F.lower(value) == "true", 1.0).when(F.lower(value) == "false", 0.0).otherwise(
+        to_number(value)
+    )
+    # an infinite number has no whole part
+    return F.try_divide(number, F.when(F.abs(number) != float("inf"), 1.0))
+
+
+def whole_part(value: Column, number: Column, numeric: Column) -> Column:
     """The integer a value stands for, NULL if none.
 
     In a numeric column a fraction is cut off; in a text column only whole-number text
     counts. Booleans count as 0 and 1.
     """
-    number = F.when(F.lower(value) == "true", 1.0).when(F.lower(value) == "false", 0.0).otherwise(
-        to_number(value)
-    )
-    finite = F.when(F.abs(number) != float("inf"), number)
-    cut = F.when(finite < 0, F.ceil(finite)).otherwise(F.floor(finite))
-    exact = F.when(
-        value.rlike(WHOLE_TEXT), F.replace(F.trim(value), F.lit("_"), F.lit("")).try_cast("decimal(38,0)")
-    )
-    plain = F.when(value.rlike(WHOLE), exact).otherwise(cut.cast("decimal(38,0)"))
-    return F.when(numeric, plain).otherwise(exact)
+    digits = F.replace(F.trim(value), F.lit("_"), F.lit(""))
+    exact = F.when(value.rlike(WHOLE_TEXT), digits.try_cast("decimal(38,0)"))
+    cut = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("decimal(38,0)")
+    return F.coalesce(exact, F.when(numeric, cut))
 
 
-def rule_issues(rule: Rule, value: Column, numeric: Column) -> list[Column]:
-    """The possible issues of one cell, NULL where the cell passes.
+def add_issues(
+    df: DataFrame, rules: list[Rule], cells: list[tuple[Column, Column]], more: list[Column] | None = None
+) -> DataFrame:
+    """Add `issues`, the array of all issues of a row in rule order.
 
-    `value` is the cell as text, `numeric` whether its column holds numbers only.
+    `cells` gives for each rule the cell as text and whether its column holds numbers only.
+    Each is evaluated once, in steps: cells, numbers, whole parts, issues.
     """
-    found = []
-    if rule.required:
-        found.append(F.when(value.isNull(), issue(rule.column, "missing")))
-    if rule.type == "int":
-        whole = whole_part(value, numeric)
-        mismatch = issue(rule.column, "type_mismatch", value, expected="int")
-        found.append(F.when(value.isNotNull() & whole.isNull(), mismatch))
-        outside = issue(rule.column, "out_of_range", whole)
-        if rule.min is not None:
-            found.append(F.when(whole < rule.min, outside))
-        if rule.max is not None:
-            found.append(F.when(whole > rule.max, outside))
-    elif rule.type == "date":
-        unread = value.isNotNull() & parse_date_text(value).isNull()
-        found.append(F.when(unread, issue(rule.column, "invalid_date", value)))
-    return found
+    names = df.columns
+    step = {}
+    for i, (value, numeric) in enumerate(cells):
+        step |= {f"_v{i}": value, f"_n{i}": numeric}
+    df = df.withColumns(step)
+    whole = [i for i, rule in enumerate(rules) if rule.type == "int"]
+    dates = [i for i, rule in enumerate(rules) if rule.type == "date"]
+    df = df.withColumns({f"_c{i}": cut_number(F.col(f"_v{i}")) for i in whole}) if whole else df
+    step = {f"_w{i}": whole_part(F.col(f"_v{i}"), F.col(f"_c{i}"), F.col(f"_n{i}")) for i in whole}
+    step |= {f"_d{i}": parse_date_text(F.col(f"_v{i}")).isNull() for i in dates}
+    df = df.withColumns(step) if step else df
+    found: list[Column] = []
+    for i, rule in enumerate(rules):
+        value = F.col(f"_v{i}")
+        if rule.required:
+            found.append(F.when(value.isNull(), issue(rule.column, "missing")))
+        if rule.type == "int":
+            part = F.col(f"_w{i}")
+            mismatch = issue(rule.column, "type_mismatch", value, expected="int")
+            found.append(F.when(value.isNotNull() & part.isNull(), mismatch))
+            outside = issue(rule.column, "out_of_range", part)
+            if rule.min is not None:
+                found.append(F.when(part < rule.min, outside))
+            if rule.max is not None:
+                found.append(F.when(part > rule.max, outside))
+        elif rule.type == "date":
+            unread = value.isNotNull() & F.col(f"_d{i}")
+            found.append(F.when(unread, issue(rule.column, "invalid_date", value)))
+    issues = F.array(*found, *(more or [])) if found or more else F.array().cast(f"array<{ISSUE_TYPE}>")
+    return df.select(*names, F.array_compact(issues).alias("issues"))
+
+
+def flagged(df: DataFrame) -> DataFrame:
+    """Only rows with issues.
+
+    The line counter keeps the filter above the projection; without it the optimizer would
+    evaluate every rule twice, once for the filter and once for the result.
+    """
+    counted = df.withColumn("_line", F.monotonically_increasing_id())
+    return counted.where((F.col("_line") >= 0) & (F.size("issues") > 0)).drop("_line")
 
 
 def numeric_columns(df: DataFrame, columns: list[str]) -> set[str]:
@@ -117,19 +147,21 @@ def numeric_columns(df: DataFrame, columns: list[str]) -> set[str]:
 def with_issues(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Add `issues`, the array of all issues of the row in rule order."""
     rules = rules or DEFAULT_RULES
+    names = df.columns
     numeric = numeric_columns(df, [r.column for r in rules if r.type == "int"])
-    found: list[Column] = []
+    cells = [(_text(df, r.column), F.lit(r.column in numeric)) for r in rules]
+    more = []
     for rule in rules:
-        present = rule.column in df.columns
-        value = F.col(rule.column).cast("string") if present else F.lit(None).cast("string")
-        found += rule_issues(rule, value, F.lit(rule.column in numeric))
-    for rule in rules:
-        if rule.unique and rule.column in df.columns:
+        if rule.unique and rule.column in names:
             df = _mark_duplicates(df, rule.column)
-            flag = F.col(f"_dup_{rule.column}")
-            found.append(F.when(flag, issue(rule.column, "duplicate", F.col(rule.column))))
-    out = df.withColumn("issues", F.array_compact(F.array(*found)))
-    return out.drop(*[c for c in out.columns if c.startswith("_dup_")])
+            repeated = issue(rule.column, "duplicate", F.col(rule.column))
+            more.append(F.when(F.col(f"_dup_{rule.column}"), repeated))
+    return add_issues(df, rules, cells, more).select(*names, "issues")
+
+
+def _text(df: DataFrame, column: str) -> Column:
+    """The column as text, NULL if the frame does not have it."""
+    return (F.col(column) if column in df.columns else F.lit(None)).cast("string")
 
 
 def _mark_duplicates(df: DataFrame, column: str) -> DataFrame:
@@ -145,7 +177,7 @@ def _mark_duplicates(df: DataFrame, column: str) -> DataFrame:
 
 def row_issues(df: DataFrame, key: str, rules: list[Rule] | None = None) -> DataFrame:
     """One row per issue: the key of the row, the issue's place in the row, and the issue."""
-    checked = with_issues(df, rules).where(F.size("issues") > 0)
+    checked = with_issues(df, rules)
     return checked.select(F.col(key).alias("row_id"), F.posexplode("issues").alias("place", "i")).select(
         "row_id", "place", "i.column", "i.issue", "i.expected", "i.value"
     )
@@ -182,17 +214,18 @@ def prototype_issues(
     A missing age gives both a missing and a not-integer issue.
     """
     required = required or ["id", "name", "age"]
+    names = df.columns
+    missing = [F.when(_text(df, c).isNull(), issue(c, "missing_required")) for c in required]
     numeric = F.lit(age in numeric_columns(df, [age]))
-
-    def cell(column: str) -> Column:
-        return F.col(column).cast("string") if column in df.columns else F.lit(None).cast("string")
-
-    found = [F.when(cell(c).isNull(), issue(c, "missing_required")) for c in required]
-    whole = whole_part(cell(age), numeric)
-    found.append(F.when(whole.isNull(), issue(age, "not_integer", cell(age))))
-    outside = (whole < low) | (whole > high)
-    found.append(F.when(outside, issue(age, "age_out_of_range", whole)))
-    return df.withColumn("issues", F.array_compact(F.array(*found)))
+    value = _text(df, age)
+    df = df.withColumn("_cut", cut_number(value))
+    df = df.withColumn("_whole", whole_part(value, F.col("_cut"), numeric))
+    whole = F.col("_whole")
+    found = missing + [
+        F.when(whole.isNull(), issue(age, "not_integer", value)),
+        F.when((whole < low) | (whole > high), issue(age, "age_out_of_range", whole)),
+    ]
+    return df.select(*names, F.array_compact(F.array(*found)).alias("issues"))
 
 
 # ---- column profile --------------------------------------------------------------------

@@ -182,8 +182,7 @@ def _describe(base: str, source: str, columns: list[str], digits: int) -> str:
 
 
 _PRODUCT_COLUMNS = """StockCode, revenue, qty, CAST(tx_lines AS BIGINT) AS tx_lines, distinct_customers,
-  description, desc_short, round(avg_price, 8) AS avg_price, round(rev_share, 8) AS rev_share,
-  round(qty_share, 8) AS qty_share, is_meta"""
+  description, desc_short, avg_price, rev_share, qty_share, is_meta"""
 
 ORACLE = {
     "daily_kpis": f"WITH {DAILY} SELECT * FROM daily ORDER BY date",

@@ -181,29 +181,25 @@ def _products(spark, sf_dir, **options):
     return retail.product_summary(retail_lines(spark, sf_dir), line_order="line_no", **options)
 
 
-def _rounded(df):
-    return df.withColumns({c: F.round(c, 8) for c in ("avg_price", "rev_share", "qty_share")})
-
-
 @query
 def product_summary(spark, sf_dir):
-    return _rounded(_products(spark, sf_dir)).orderBy(F.col("revenue").desc(), "StockCode")
+    return _products(spark, sf_dir).orderBy(F.col("revenue").desc(), "StockCode")
 
 
 @query
 def product_orders(spark, sf_dir):
-    return _rounded(_products(spark, sf_dir, with_orders=True)).drop("desc_short")
+    return _products(spark, sf_dir, with_orders=True).drop("desc_short")
 
 
 @query
 def top_products_by_revenue(spark, sf_dir):
-    return _rounded(retail.top_products(_products(spark, sf_dir), "StockCode", 10))
+    return retail.top_products(_products(spark, sf_dir), "StockCode", 10)
 
 
 @query
 def top_products_by_qty(spark, sf_dir):
     products = _products(spark, sf_dir)
-    return _rounded(retail.top_products(products, "StockCode", 10, by="qty", meta=True))
+    return retail.top_products(products, "StockCode", 10, by="qty", meta=True)
 
 
 @query

@@ -10,7 +10,6 @@ NA_TEXTS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-MOST_COLUMNS = 64
 CELLS = "cells"
 
 
@@ -36,7 +35,7 @@ def read_csv_defensive(spark: SparkSession, path: str, multiline: bool = False)
     return table.withColumn("_line_no", F.monotonically_increasing_id())
 
 
-def cell_schema(width: int = MOST_COLUMNS) -> str:
+def cell_schema(width: int) -> str:
     return ", ".join(f"_c{i} string" for i in range(width + 1))
 
 
@@ -49,7 +48,7 @@ def with_place(rows: DataFrame) -> DataFrame:
     )
 
 
-def cells_of(rows: DataFrame, width: int = MOST_COLUMNS) -> DataFrame:
+def cells_of(rows: DataFrame, width: int) -> DataFrame:
     """Lines of many files, each with its own header, as arrays of cells.
 
     Adds a number that grows with the line inside its scan range. A line with more than
@@ -77,12 +76,24 @@ def csv_options(encoding: str = "UTF-8", multiline: bool = False) -> dict[str, s
     }
 
 
+def widest_line(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> int:
+    """An upper bound of the cells per line: one more than the most commas in a line."""
+    lines = spark.read.option("encoding", encoding).text(path)
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    return (lines.agg(F.max(commas)).first()[0] or 0) + 1
+
+
 def read_csv_cells(
     spark: SparkSession,
     path: str | list[str],
-    width: int = MOST_COLUMNS,
+    width: int | None = None,
     encoding: str = "UTF-8",
     multiline: bool = False,
 ) -> DataFrame:
+    """The lines of all files under the paths as cells, the header lines among them.
+
+    The parser is slow for columns nobody uses, so the width is measured unless given.
+    """
+    width = width or widest_line(spark, path, encoding)
     reader = spark.read.options(**csv_options(encoding, multiline)).schema(cell_schema(width))
     return cells_of(with_place(reader.csv(path)), width)

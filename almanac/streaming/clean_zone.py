@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from almanac.plans.jobs import clean_documents
-from almanac.sources.documents import with_key
-
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+from almanac.sources.documents import FILE_SCHEMA, with_key
 
 
 def clean_arrivals(

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from almanac.operators.file_quality import check_files, issue_documents, report_documents
 from almanac.operators.quality import Rule
-from almanac.sources.csv import MOST_COLUMNS, cell_schema, cells_of, csv_options, with_place
+from almanac.sources.csv import read_csv_cells
+from almanac.sources.documents import FILE_SCHEMA
 
 
 def _store(frame: DataFrame, path: str, batch: int) -> None:
@@ -24,25 +25,34 @@ def check_arrivals(
     out: str,
     checkpoint: str,
     rules: list[Rule] | None = None,
-    width: int = MOST_COLUMNS,
     files_per_batch: int = 1000,
     encoding: str = "UTF-8",
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Start a run over all files not seen yet under `source` and stop when done.
 
-    Writes `files`, `columns`, `issues` and `reports` under `out`.
+    The stream carries only the paths of new files, at most `files_per_batch` at a time;
+    each batch reads its files as one distributed scan. Writes `files`, `columns`, `issues`
+    and `reports` under `out`.
     """
-    lines = (
-        spark.readStream.options(**csv_options(encoding))
+    arrivals = (
+        spark.readStream.format("binaryFile")
         .options(
             pathGlobFilter="*.csv", recursiveFileLookup="true", maxFilesPerTrigger=str(files_per_batch)
         )
-        .schema(cell_schema(width))
-        .csv(source)
+        .schema(FILE_SCHEMA)
+        .load(source)
+        .select("path")
     )
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        checked = check_files(cells_of(batch, width), rules)
+        paths = [row["path"] for row in batch.collect()]  # bounded by files_per_batch
+        if not paths:
+            return
+        session = batch.sparkSession
+        checked = check_files(
+            read_csv_cells(session, paths, encoding=encoding, multiline=multiline), rules
+        )
         at = F.lit(dt.datetime.now(dt.timezone.utc))
         _store(issue_documents(checked), f"{out}/issues", batch_id)
         _store(checked.columns, f"{out}/columns", batch_id)
@@ -52,7 +62,7 @@ def check_arrivals(
         _store(reports, f"{out}/reports", batch_id)
 
     return (
-        with_place(lines).writeStream.foreachBatch(check)
+        arrivals.writeStream.foreachBatch(check)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
