@@ -48,16 +48,16 @@ def _cut_points(customers: DataFrame, rows: int) -> dict[str, list[tuple[float,
     ).unpivot(["CustomerID"], METRICS, "metric", "value")
     order = [F.col("metric"), F.col("value"), F.col("CustomerID")]
     numbered = with_row_number(long, order, "position")
-    ends = {
-        i * rows + k * (rows - 1) // BUCKETS + 1: (metric, k)
-        for i, metric in enumerate(sorted(METRICS))
-        for k in range(1, BUCKETS)
-    }
-    cuts: dict[str, dict[int, tuple]] = {m: {} for m in METRICS}
+    # with few customers several buckets end at the same position
+    ends: dict[int, list[str]] = {}
+    for i, metric in enumerate(sorted(METRICS)):
+        for k in range(1, BUCKETS):
+            ends.setdefault(i * rows + k * (rows - 1) // BUCKETS + 1, []).append(metric)
+    cuts: dict[str, list[tuple]] = {m: [] for m in METRICS}
     for row in numbered.where(F.col("position").isin(list(ends))).collect():
-        metric, k = ends[row["position"]]
-        cuts[metric][k] = (row["value"], row["CustomerID"])
-    return {m: [found[k] for k in sorted(found)] for m, found in cuts.items()}
+        for metric in ends[row["position"]]:
+            cuts[metric].append((row["value"], row["CustomerID"]))
+    return cuts
 
 
 def _bucket(metric: str, cuts: list[tuple[float, object]]) -> Column:
