@@ -83,7 +83,7 @@ def _headers(counted: DataFrame) -> DataFrame:
 
 def _columns(counted: DataFrame, headers: DataFrame, files: DataFrame) -> DataFrame:
     """Profile per file and column, the header line itself left out."""
-    cells = counted.where(F.col("pos") >= 0).join(headers.select("file", "pos", "head"), ["file", "pos"])
+    cells = counted.where(F.col("pos") >= 0).join(headers, ["file", "pos"])
     data = cells.withColumn(
         "n", F.col("n") - F.when(F.col("cell") == F.col("head"), 1).otherwise(0)
     ).where("n > 0")
@@ -130,15 +130,15 @@ def check_files(lines: DataFrame, rules: list[Rule] | None = None) -> FileQualit
     counted = checkpointed(_count_cells(lines))
     ranges = _ranges(counted)
     sizes = ranges.groupBy("file").agg((F.sum("lines") - 1).alias("num_rows"))
-    headers = _headers(counted)
-    columns = checkpointed(_columns(counted, headers, sizes))
+    headers = checkpointed(_headers(counted))
+    # one entry per file and column bounds what is broadcast; beyond the limit the joins are
+    # left to the runtime, which splits a file or column with many lines
+    entries = headers.count()
+    known = F.broadcast if entries <= MOST_BROADCAST_ENTRIES else (lambda frame: frame)
+    columns = checkpointed(_columns(counted, known(headers), sizes))
     layout = _layout(columns)
-    # a layout row holds one entry per column, so the entries bound the size to broadcast;
-    # beyond that the join is left to the runtime, which splits a file with many lines
-    entries = columns.count()
-    small = F.broadcast(layout) if entries <= MOST_BROADCAST_ENTRIES else layout
 
-    placed = add_issues(lines.join(small, "file"), rules, [_cell(r.column) for r in rules])
+    placed = add_issues(lines.join(known(layout), "file"), rules, [_cell(r.column) for r in rules])
     found = flagged(placed.select("file", "block", "seq", "issues"))
     issues = checkpointed(
         found.join(ranges, ["file", "block"])

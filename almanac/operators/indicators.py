@@ -214,7 +214,11 @@ def yearly_count(notices: DataFrame) -> DataFrame:
 
 
 def notices_with_same_year(notices: DataFrame, df: DataFrame, code: str) -> DataFrame:
-    """All notices with the country's indicator value of the notice's year, newest first."""
+    """All notices with the country's indicator value of the notice's year, newest first.
+
+    The whole result is sorted, so further columns follow the date: they let the range
+    partitioner split a day that holds much of the data.
+    """
     values = with_code(df, code).select(
         F.col("country_code").alias("country_iso3"), F.col("year").alias("_year"),
         F.col("value").alias("malaria_incidence"),
@@ -224,8 +228,8 @@ def notices_with_same_year(notices: DataFrame, df: DataFrame, code: str) -> Data
     )
     return (
         dated.join(values, ["country_iso3", "_year"], "left")
+        .orderBy(*_high("publication_date", "title", "country_iso3", "malaria_incidence"))
         .select("title", "publication_date", "malaria_incidence")
-        .orderBy(F.col("publication_date").desc_nulls_last())
     )
 
 

@@ -103,6 +103,7 @@ def flag_spikes(
     """Score and flag unusually high days.
 
     `daily` has one row per calendar day, so the exact percentile's value table is bounded.
+    It is read twice, once for its distribution: pass a stored frame.
     """
     if method not in SPIKE_METHODS:
         raise ValueError(f"method must be one of {SPIKE_METHODS}")

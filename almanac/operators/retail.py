@@ -13,6 +13,7 @@ from almanac.functions.dates import (
 )
 from almanac.functions.numbers import is_true, share_of, to_number
 from almanac.operators.shape import require_columns, trim_names
+from almanac.session import checkpointed
 
 # Candidate product keys, first match wins (fixed values).
 PRODUCT_KEYS = ["StockCode", "ProductID", "ItemID", "SKU", "Product"]
@@ -238,7 +239,8 @@ def moving_average(
 def weekly_totals(daily: DataFrame, value: str, name: str, date: str = "date") -> DataFrame:
     """Sum per week ending on Sunday; weeks without a day get 0."""
     week = week_ending_sunday(F.col(date))
-    sums = daily.groupBy(week.alias("week")).agg(F.sum(value).alias("_sum"))
+    # at most one row per calendar week, stored as it is read twice
+    sums = checkpointed(daily.groupBy(week.alias("week")).agg(F.sum(value).alias("_sum")))
     span = sums.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
     weeks = span.where("lo is not null").select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week")
@@ -252,6 +254,7 @@ def weekly_totals(daily: DataFrame, value: str, name: str, date: str = "date") -
 def missing_days(df: DataFrame, date: str = "date") -> DataFrame:
     """Calendar days between the first and the last day that have no row."""
     days = df.select(F.col(date).cast("date").alias("date")).where("date is not null").distinct()
+    days = checkpointed(days)  # at most one row per calendar day, read twice
     span = days.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     full = span.where("lo is not null").select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date")
@@ -353,31 +356,39 @@ def product_summary(
         F.col("Description").isNotNull(), F.struct("_first", F.col("Description").alias("text"))
     )
     figures = [
-        F.coalesce(F.sum("_revenue").cast("double"), F.lit(0.0)).alias("revenue"),
-        F.coalesce(F.sum("_qty").cast("double"), F.lit(0.0)).alias("qty"),
+        F.sum("_revenue").alias("_revenue"),
+        F.sum("_qty").alias("_qty"),
         F.sum("_lines").alias("tx_lines"),
         F.count_distinct("CustomerID").alias("distinct_customers"),
         F.coalesce(F.min(described)["text"], F.lit("")).alias("description"),
     ]
     if with_orders:
         figures.append(F.count_distinct("InvoiceNo").alias("n_orders"))
-    products = combined.groupBy(key).agg(*figures)
-    totals = lines.agg(
+    # stored, as the totals need the products too: the lines are read once
+    products = checkpointed(combined.groupBy(key).agg(*figures))
+    totals = products.agg(
         F.struct(
-            F.sum("LineTotal").cast("double").alias("revenue"),
-            F.sum("Quantity").cast("double").alias("qty"),
+            F.sum("_revenue").cast("double").alias("revenue"),
+            F.sum("_qty").cast("double").alias("qty"),
         ).alias("total")
     )
     short = shorten_words if with_orders else cut_text
-    return products.withColumn("_total", totals.scalar()).withColumns(
+    whole = products.withColumns(
         {
-            "desc_short": short(F.col("description")),
-            "avg_price": F.when(F.col("qty") != 0, F.col("revenue") / F.col("qty")),
-            "rev_share": share_of(F.col("revenue"), F.col("_total.revenue")),
-            "qty_share": share_of(F.col("qty"), F.col("_total.qty")),
-            "is_meta": is_meta_key(key),
+            "revenue": F.coalesce(F.col("_revenue").cast("double"), F.lit(0.0)),
+            "qty": F.coalesce(F.col("_qty").cast("double"), F.lit(0.0)),
+            "_total": totals.scalar(),
         }
-    ).drop("_total")
+    )
+    extra = ["n_orders"] if with_orders else []
+    return whole.select(
+        key, "revenue", "qty", "tx_lines", "distinct_customers", *extra, "description",
+        short(F.col("description")).alias("desc_short"),
+        F.when(F.col("qty") != 0, F.col("revenue") / F.col("qty")).alias("avg_price"),
+        share_of(F.col("revenue"), F.col("_total.revenue")).alias("rev_share"),
+        share_of(F.col("qty"), F.col("_total.qty")).alias("qty_share"),
+        is_meta_key(key).alias("is_meta"),
+    )
 
 
 def without_meta(products: DataFrame) -> DataFrame:

@@ -71,9 +71,12 @@ def _bucket(metric: str, cuts: list[tuple[float, object]]) -> Column:
     return bucket
 
 
-def add_scores(customers: DataFrame) -> DataFrame:
-    """Quartile ranks of the three metrics (newest is best) and the combined score."""
-    fixed = checkpointed(customers)
+def add_scores(customers: DataFrame, stored: bool = False) -> DataFrame:
+    """Quartile ranks of the three metrics (newest is best) and the combined score.
+
+    The customers are read three times; `stored` says they come from storage already.
+    """
+    fixed = customers if stored else checkpointed(customers)
     rows = fixed.count()
     if rows == 0:
         ranks = {r: F.lit(0) for r in ("R_rank", "F_rank", "M_rank")}
@@ -99,8 +102,8 @@ def rfm_scores(df: DataFrame, snapshot: dt.datetime | None = None) -> DataFrame:
     """
     require_columns(df, ["CustomerID", "InvoiceNo", "InvoiceDate", "LineTotal"], "rfm")
     figures = _customer_figures(df.where(~F.col("is_cancellation") & ~F.col("is_adjustment")))
+    figures = checkpointed(figures)
     if snapshot is None:
-        figures = checkpointed(figures)
         newest = figures.agg(F.max("last_tx").alias("newest")).first()["newest"]
         snapshot = newest + dt.timedelta(days=1) if newest is not None else None
     at = _moment(snapshot)
@@ -112,7 +115,7 @@ def rfm_scores(df: DataFrame, snapshot: dt.datetime | None = None) -> DataFrame:
         F.col("frequency").cast("bigint").alias("frequency"),
         F.coalesce("monetary", F.lit(0.0)).alias("monetary"),
     )
-    return add_scores(customers)
+    return add_scores(customers, stored=True)
 
 
 def rfm_segments(df: DataFrame) -> DataFrame:
@@ -123,10 +126,9 @@ def rfm_segments(df: DataFrame) -> DataFrame:
     """
     lines = df.where(~F.col("is_cancellation"))
     meta = F.col("is_meta") if "is_meta" in df.columns else is_meta_key("StockCode")
-    products = lines.where(~meta)
-    if products.limit(1).count() == 0:
-        products = lines
-    figures = checkpointed(_customer_figures(products))
+    figures = checkpointed(_customer_figures(lines.where(~meta)))
+    if figures.isEmpty():  # nothing but meta codes: score all lines
+        figures = checkpointed(_customer_figures(lines))
     span = figures.agg(F.max("last_tx").alias("hi"), F.min("_first_tx").alias("lo")).first()
     day = dt.timedelta(days=1)
     midnight = dict(hour=0, minute=0, second=0, microsecond=0)
@@ -146,7 +148,7 @@ def rfm_segments(df: DataFrame) -> DataFrame:
             F.coalesce("monetary", F.lit(0.0)).alias("monetary"),
         )
     )
-    return add_scores(customers).withColumn("segment", segment())
+    return add_scores(customers, stored=True).withColumn("segment", segment())
 
 
 def segment() -> Column:

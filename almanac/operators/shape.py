@@ -130,10 +130,13 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Counts in equal-width bins between the minimum and the maximum, empty bins included."""
+    """Counts in equal-width bins between the minimum and the maximum, empty bins included.
+
+    The frame is read twice, once for its range: pass a stored one.
+    """
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    span = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    low, high = span.select("lo").scalar(), span.select("hi").scalar()
+    span = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    low, high = span["lo"], span["hi"]
     width = F.when(high > low, (high - low) / bins).otherwise(F.lit(1.0 / bins))
     start = F.when(high > low, low).otherwise(low - 0.5)
     slot = F.least(F.floor((F.col("v") - start) / width), F.lit(bins - 1)).cast("int")

@@ -10,6 +10,7 @@ from almanac.functions.text import country_candidates, disease_from_title, html_
 from almanac.operators import indicators as ind
 from almanac.operators import shape
 from almanac.plans import dashboards as dash
+from almanac.session import checkpointed
 from almanac.plans.views import (
     AS_OF, BEDS, CHOLERA, COUNTRY, LIFE, MALARIA, REGION,
     beds, indicator, notices, outbreaks, places, table,
@@ -19,6 +20,15 @@ QUERIES = {}
 FIRST, LAST = 1996, 2000
 
 
+def _facts(spark, sf_dir, code=None, repeated=False):
+    """Indicator facts stored once, for queries that read them more than once.
+
+    The code is filtered first, so it reaches the scan.
+    """
+    facts = indicator(spark, sf_dir, repeated)
+    return checkpointed(facts if code is None else ind.with_code(facts, code))
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -30,23 +40,23 @@ def _rounded(df, *columns, digits=4):
 
 @query
 def latest_per_country(spark, sf_dir):
-    return ind.latest_per_country(indicator(spark, sf_dir, repeated=True), LIFE)
+    return ind.latest_per_country(_facts(spark, sf_dir, LIFE, repeated=True), LIFE)
 
 
 @query
 def top20_latest(spark, sf_dir):
-    return ind.latest_per_country(indicator(spark, sf_dir, repeated=True), CHOLERA, n=20)
+    return ind.latest_per_country(_facts(spark, sf_dir, CHOLERA, repeated=True), CHOLERA, n=20)
 
 
 @query
 def yoy_pct_change(spark, sf_dir):
-    return _rounded(ind.yoy_percent(indicator(spark, sf_dir), MALARIA, COUNTRY), "pct_change")
+    return _rounded(ind.yoy_percent(_facts(spark, sf_dir, MALARIA), MALARIA, COUNTRY), "pct_change")
 
 
 @query
 def latest_a_vs_latest_b(spark, sf_dir):
-    cases = indicator(spark, sf_dir, repeated=True)
-    return ind.latest_pair(cases, CHOLERA, beds(spark, sf_dir), BEDS)
+    cases = _facts(spark, sf_dir, CHOLERA, repeated=True)
+    return ind.latest_pair(cases, CHOLERA, checkpointed(beds(spark, sf_dir)), BEDS)
 
 
 @query
@@ -56,13 +66,13 @@ def monthly_timeline(spark, sf_dir):
 
 @query
 def recent_events_with_latest(spark, sf_dir):
-    facts = indicator(spark, sf_dir)
+    facts = _facts(spark, sf_dir, MALARIA)
     return ind.recent_with_latest(outbreaks(spark, sf_dir), facts, MALARIA, AS_OF)
 
 
 @query
 def pct_change_two_years(spark, sf_dir):
-    facts = indicator(spark, sf_dir, repeated=True)
+    facts = _facts(spark, sf_dir, LIFE, repeated=True)
     return _rounded(ind.change_between_years(facts, LIFE, FIRST, LAST), "pct_change")
 
 
@@ -83,7 +93,7 @@ def most_recent(spark, sf_dir):
 
 @query
 def global_latest_year(spark, sf_dir):
-    return ind.global_latest(indicator(spark, sf_dir), LIFE)
+    return ind.global_latest(_facts(spark, sf_dir, LIFE), LIFE)
 
 
 @query
@@ -120,7 +130,7 @@ def pivot_two_years_filter(spark, sf_dir):
 
 @query
 def avg_last_5_by_max_year(spark, sf_dir):
-    means = ind.mean_last_years_of_data(indicator(spark, sf_dir), MALARIA)
+    means = ind.mean_last_years_of_data(_facts(spark, sf_dir, MALARIA), MALARIA)
     return _rounded(means, "avg_malaria_5yrs")
 
 
@@ -134,12 +144,12 @@ def global_trend(spark, sf_dir):
 
 @query
 def topk_series(spark, sf_dir):
-    return dash.top_series(ind.with_code(indicator(spark, sf_dir), MALARIA))
+    return dash.top_series(_facts(spark, sf_dir, MALARIA))
 
 
 @query
 def heatmap_pivot(spark, sf_dir):
-    facts = ind.with_code(indicator(spark, sf_dir, repeated=True), MALARIA)
+    facts = _facts(spark, sf_dir, MALARIA, repeated=True)
     table_ = dash.heat_table(dash.top_series(facts))
     return _rounded(table_, *[c for c in table_.columns if c != "country_code"])
 
@@ -162,7 +172,7 @@ def region_avg(spark, sf_dir):
 
 @query
 def highlight_vs_peers(spark, sf_dir):
-    facts = ind.with_code(indicator(spark, sf_dir), LIFE)
+    facts = _facts(spark, sf_dir, LIFE)
     lines = dash.highlight_vs_peers(
         dash.panel_series(facts, REGION), dash.panel_mean(facts, REGION), COUNTRY, (FIRST, LAST)
     )
@@ -187,17 +197,17 @@ def high_cases_low_beds(spark, sf_dir):
 
 @query
 def union_indicators(spark, sf_dir):
-    facts = indicator(spark, sf_dir)
+    facts = _facts(spark, sf_dir)
     parts = [ind.with_code(facts, code) for code in (LIFE, MALARIA, CHOLERA)]
     return shape.union_all(parts)
 
 
 @query
 def source_priority(spark, sf_dir):
-    facts = indicator(spark, sf_dir)
+    facts = _facts(spark, sf_dir)
     primary = facts.where(F.col("indicator_code").isin(LIFE, CHOLERA))
     return shape.first_available(
-        {"who": primary, "owid": indicator(spark, sf_dir, repeated=True)}, "indicator_code"
+        {"who": primary, "owid": _facts(spark, sf_dir, repeated=True)}, "indicator_code"
     )
 
 

@@ -64,7 +64,8 @@ def retail_job(
 
 def _newest_per_year(rows: DataFrame) -> DataFrame:
     """Of each year only the rows of the document that landed last."""
-    newest = rows.groupBy("year").agg(
+    documents = rows.select("year", "landed_at", "raw_key").distinct()
+    newest = documents.groupBy("year").agg(
         F.max(F.struct("landed_at", "raw_key")).alias("_newest")
     ).select("year", F.col("_newest.raw_key").alias("raw_key"))
     return rows.join(newest, ["year", "raw_key"], "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from almanac.operators import profiles, retail, rfm, shape
 from almanac.plans.views import raw_retail_lines, retail_lines, table
 from almanac.functions.dates import month_label, year_label
+from almanac.session import checkpointed
 
 QUERIES = {}
 
@@ -130,7 +131,7 @@ def bad_days(spark, sf_dir):
 
 @query
 def activity_histogram(spark, sf_dir):
-    daily = retail.daily_activity(retail_lines(spark, sf_dir))
+    daily = checkpointed(retail.daily_activity(retail_lines(spark, sf_dir)))
     return shape.histogram(daily, "tx_operational", 60).withColumn(
         "bin_start", F.round("bin_start", 6)
     )
@@ -138,13 +139,13 @@ def activity_histogram(spark, sf_dir):
 
 @query
 def daily_describe(spark, sf_dir):
-    daily = retail.daily_activity(retail_lines(spark, sf_dir))
+    daily = checkpointed(retail.daily_activity(retail_lines(spark, sf_dir)))
     out = profiles.describe(daily, ["tx_all", "tx_operational"])
     return out.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
 def _spikes(spark, sf_dir, method, **limits):
-    daily = retail.daily_kpis(retail_lines(spark, sf_dir)).select(
+    daily = checkpointed(retail.daily_kpis(retail_lines(spark, sf_dir))).select(
         "date", "transactions", "operational_revenue"
     )
     flagged = profiles.spikes(daily, method, **limits)
@@ -168,7 +169,7 @@ def spikes_percentile(spark, sf_dir):
 
 @query
 def spike_flags(spark, sf_dir):
-    daily = retail.daily_kpis(retail_lines(spark, sf_dir)).select("date", "transactions")
+    daily = checkpointed(retail.daily_kpis(retail_lines(spark, sf_dir))).select("date", "transactions")
     return profiles.flag_spikes(daily, "percentile").withColumn(
         "spike_score", F.round("spike_score", 6)
     )
