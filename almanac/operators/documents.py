@@ -18,7 +18,10 @@ from almanac.functions.hashing import row_key
 from almanac.functions.numbers import to_number
 from almanac.functions.text import country_candidates, disease_from_title, html_to_text, or_null
 
-GHO_RECORDS = "array<struct<SpatialDim:string,TimeDim:string,NumericValue:string,IndicatorCode:string>>"
+GHO_RECORDS = (
+    "array<struct<SpatialDim:string,SpatialDimType:string,TimeDim:string,NumericValue:string,"
+    "IndicatorCode:string>>"
+)
 BANK_RECORDS = (
     "array<struct<countryiso3code:string,country:struct<id:string,value:string>,date:string,"
     "value:string,indicator:struct<id:string,value:string>>>"
@@ -58,24 +61,33 @@ def real_country(code: Column) -> Column:
 
 
 def parse_gho(
-    df: DataFrame, keep: list[str] | None = None, allow_list_root: bool = False
+    df: DataFrame,
+    keep: list[str] | None = None,
+    allow_list_root: bool = False,
+    countries_only: bool = False,
+    from_year: int | None = None,
 ) -> DataFrame:
     """Indicator documents `{"value": [...]}`: rows with a whole year and a country code.
 
     A NULL value is kept. `allow_list_root` also reads documents that are a bare list.
+    `countries_only` and `from_year` apply the filters of the source's query interface to
+    documents that were fetched without them.
     """
     keep = keep or []
     rows = _records(df, GHO_RECORDS, keep)
     if allow_list_root:
         bare = df.where(F.col("body").rlike(r"^\s*\["))
         rows = rows.unionByName(_records(bare, GHO_RECORDS, keep, bare_list=True))
-    return rows.select(
+    if countries_only:
+        rows = rows.where(F.col("r.SpatialDimType") == "COUNTRY")
+    parsed = rows.select(
         *keep,
         F.col("r.SpatialDim").alias("country_code"),
         _year(F.col("r.TimeDim")).alias("year"),
         to_number(F.col("r.NumericValue")).alias("value"),
         F.col("r.IndicatorCode").alias("indicator_code"),
     ).where(real_country(F.col("country_code")) & F.col("year").isNotNull())
+    return parsed if from_year is None else parsed.where(F.col("year") >= from_year)
 
 
 def _bank_rows(df: DataFrame, keep: list[str]) -> DataFrame:

@@ -476,3 +476,11 @@ def cancellation_rate(df: DataFrame) -> DataFrame:
         F.try_divide(F.count_if("is_cancellation"), F.count(F.lit(1))).alias("cancellation_rate"),
         F.count_distinct("CustomerID").alias("total_customers"),
     )
+
+
+def explicit_cancellations(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first n invoices with an explicit `Cancelled` value; none if there is no such column."""
+    if "Cancelled" not in df.columns:
+        return df.select("InvoiceNo", F.lit(None).cast("string").alias("Cancelled")).limit(0)
+    marked = df.select("InvoiceNo", "Cancelled").dropna()
+    return marked.orderBy("InvoiceNo", "Cancelled").limit(n)

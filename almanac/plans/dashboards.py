@@ -24,6 +24,11 @@ HIGHLIGHT = "NGA"
 PANEL_YEARS = (2000, 2022)
 
 
+def _in_order(df: DataFrame) -> DataFrame:
+    """By country and year; the value breaks ties, so a hot year can be split over tasks."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in ("country_code", "year", "value")])
+
+
 def global_trend(df: DataFrame) -> DataFrame:
     """Mean over countries per year."""
     return df.groupBy("year").agg(F.avg("value").alias("value")).orderBy("year")
@@ -35,9 +40,7 @@ def top_series(df: DataFrame, n: int = 5) -> DataFrame:
     best = top(
         means.where("mean is not null"), n, F.col("mean").desc(), F.col("country_code").asc()
     )
-    return df.join(best.select("country_code"), "country_code", "left_semi").orderBy(
-        F.col("country_code").asc_nulls_last(), F.col("year").asc_nulls_last()
-    )
+    return _in_order(df.join(best.select("country_code"), "country_code", "left_semi"))
 
 
 def heat_table(df: DataFrame) -> DataFrame:
@@ -46,13 +49,11 @@ def heat_table(df: DataFrame) -> DataFrame:
 
 
 def country_series(df: DataFrame, country: str = HIGHLIGHT) -> DataFrame:
-    return df.where(F.col("country_code") == country).orderBy(F.col("year").asc_nulls_last())
+    return _in_order(df.where(F.col("country_code") == country))
 
 
 def panel_series(df: DataFrame, countries: list[str] | None = None) -> DataFrame:
-    return df.where(F.col("country_code").isin(countries or PANEL)).orderBy(
-        F.col("country_code").asc_nulls_last(), F.col("year").asc_nulls_last()
-    )
+    return _in_order(df.where(F.col("country_code").isin(countries or PANEL)))
 
 
 def panel_mean(df: DataFrame, countries: list[str] | None = None) -> DataFrame:

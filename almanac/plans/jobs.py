@@ -49,7 +49,8 @@ def retail_job(
             products = retail.product_summary(lines, line_order="_line_no")
             path = sink.write_parquet(products, f"{out}/top_products_summary.parquet")
             stored["products"] = spark.read.parquet(path)
-            ranked = stored["products"].orderBy(F.col("revenue").desc_nulls_last())
+            key = retail.product_key(lines)
+            ranked = stored["products"].orderBy(F.col("revenue").desc_nulls_last(), F.col(key))
             written["top_products"] = sink.write_csv(ranked, f"{out}/top_products_summary.csv")
         if "rfm" in wanted and "CustomerID" in lines.columns:
             path = sink.write_parquet(rfm.rfm_scores(lines), f"{out}/rfm_customers.parquet")
@@ -92,9 +93,8 @@ def clean_documents(
     try:
         counts = {r["readable"]: r["count"] for r in fresh.groupBy("readable").count().collect()}
         if counts.get(False):
-            fresh.where(~F.col("readable")).select("raw_key", "hash", "landed_at", "body").write.mode(
-                "append"
-            ).parquet(f"{base}/_quarantine")
+            unreadable = fresh.where(~F.col("readable"))
+            sink.quarantine(unreadable.select("raw_key", "hash", "landed_at", "body"), f"{base}/_quarantine")
         good = fresh.where("readable")
         names = [r["dataset"] for r in good.select("dataset").distinct().collect()]
         keep = ["raw_key", "landed_at"]

@@ -336,4 +336,22 @@ SELECT CustomerID, CAST(least(recency_days, 365) AS DOUBLE) AS recency_clip,
        round(least(CAST(frequency AS DOUBLE), f), 4) AS frequency_clip,
        round(least(monetary, m), 4) AS monetary_clip FROM scored, caps""",
     "rfm_describe": _describe(RFM, "scored", ["recency_days", "frequency", "monetary"], 3),
+    "rfm_histograms": f"""WITH {SEGMENTS},
+caps AS (SELECT quantile_cont(CAST(frequency AS DOUBLE), 0.99) AS f, quantile_cont(monetary, 0.99) AS m FROM scored),
+clipped AS (
+  SELECT 'recency' AS metric, CAST(least(recency_days, 365) AS DOUBLE) AS v FROM scored
+  UNION ALL SELECT 'frequency', least(CAST(frequency AS DOUBLE), f) FROM scored, caps
+  UNION ALL SELECT 'monetary', least(monetary, m) FROM scored, caps),
+span AS (SELECT metric, min(v) AS lo, max(v) AS hi FROM clipped GROUP BY 1),
+placed AS (
+  SELECT metric, CAST(least(floor((v - start) / width), 29) AS INTEGER) AS bin
+  FROM clipped JOIN (SELECT metric, CASE WHEN hi > lo THEN lo ELSE lo - 0.5 END AS start,
+                            CASE WHEN hi > lo THEN (hi - lo) / 30 ELSE 1.0 / 30 END AS width FROM span) USING (metric))
+SELECT metric, CAST(b.bin AS INTEGER) AS bin, COUNT(placed.bin) AS n
+FROM span CROSS JOIN (SELECT unnest(range(30)) AS bin) b LEFT JOIN placed USING (metric, bin)
+GROUP BY metric, b.bin""",
+    "operational_sample": f"""WITH {LINES}
+SELECT InvoiceNo, StockCode, InvoiceDate, Quantity, bad_data FROM lines WHERE NOT bad_data
+ORDER BY InvoiceDate DESC NULLS LAST, InvoiceNo NULLS LAST, CustomerID NULLS LAST, StockCode NULLS LAST,
+         Description NULLS LAST, Quantity, UnitPrice, LineTotal LIMIT 500""",
 }

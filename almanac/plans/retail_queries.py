@@ -336,3 +336,21 @@ def rfm_describe(spark, sf_dir):
     scores = rfm.rfm_scores(retail_lines(spark, sf_dir))
     out = profiles.describe(scores, ["recency_days", "frequency", "monetary"])
     return out.withColumns({c: F.round(c, 3) for c in ("mean", "std", "q25", "q50", "q75")})
+
+
+@query
+def rfm_histograms(spark, sf_dir):
+    scores = rfm.clipped(rfm.rfm_segments(retail_lines(spark, sf_dir)))
+    parts = [
+        shape.histogram(scores, f"{name}_clip", 30).select(F.lit(name).alias("metric"), "bin", "n")
+        for name in ("recency", "frequency", "monetary")
+    ]
+    return shape.union_all(parts)
+
+
+@query
+def operational_sample(spark, sf_dir):
+    """The variant of the review sample that leaves out bad lines."""
+    lines = retail_lines(spark, sf_dir)
+    sample = retail.review_sample(lines, keep=~F.col("bad_data"))
+    return sample.select("InvoiceNo", "StockCode", "InvoiceDate", "Quantity", "bad_data")

@@ -44,13 +44,13 @@ def raw_retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         code.alias("StockCode"),
         F.when(code == "B", "Adjust bad debt").otherwise(F.col("p_name")).alias("Description"),
         quantity.alias("Quantity"),
-        (cents / F.lit(100.0)).cast("decimal(12,2)").alias("UnitPrice"),
+        (cents / F.lit(100.0)).cast("decimal(8,2)").alias("UnitPrice"),
         F.col("o_orderdate").alias("InvoiceDate"),
         F.when(F.col("o_custkey") % 4 != 0, F.col("o_custkey")).alias("CustomerID"),
         F.col("l_orderkey").alias("line_no"),
     )
-    total = F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice")
-    return lines.withColumn("LineTotal", total.cast("decimal(18,2)"))
+    total = F.col("Quantity").cast("decimal(4,0)") * F.col("UnitPrice")
+    return lines.withColumn("LineTotal", total.cast("decimal(8,2)"))
 
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

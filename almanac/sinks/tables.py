@@ -85,6 +85,16 @@ def append_manifest(entries: DataFrame, path: str) -> None:
     entries.select(*names).coalesce(1).write.mode("append").parquet(path)
 
 
+def quarantine(documents: DataFrame, path: str) -> None:
+    """Keep unreadable documents, each content of a key once."""
+    try:
+        kept = documents.sparkSession.read.schema(documents.schema).parquet(path)
+        documents = documents.join(kept.select("raw_key", "hash"), ["raw_key", "hash"], "left_anti")
+    except AnalysisException:
+        pass  # nothing kept yet
+    documents.write.mode("append").parquet(path)
+
+
 def append_run_log(spark: SparkSession, path: str, job: str, outcome: str, rows: int) -> None:
     """One row per run, also for a run that found nothing to do."""
     row = [(job, outcome, rows, dt.datetime.now(dt.timezone.utc))]

@@ -45,9 +45,13 @@ def within_years(df: DataFrame, years: tuple[int, int]) -> DataFrame:
     return df.where(F.col("year").between(*years))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+def _read_table(spark: SparkSession, base: str, name: str) -> DataFrame | None:
+    """The dataset with its declared columns, None if its folder is absent."""
+    schema = T.StructType.fromDDL(TABLES[name][0])
+    try:
+        return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{name}")
+    except AnalysisException:
+        return None
 
 
 def register_views(spark: SparkSession, base: str) -> list[str]:
@@ -56,13 +60,11 @@ def register_views(spark: SparkSession, base: str) -> list[str]:
     Fails if there is no dataset at all.
     """
     found = []
-    for name, (columns, years) in TABLES.items():
-        path = f"{base.rstrip('/')}/{name}"
-        if not _exists(spark, path):
-            continue
-        schema = T.StructType.fromDDL(columns)
-        within_years(spark.read.schema(schema).parquet(path), years).createOrReplaceTempView(name)
-        found.append(name)
+    for name, (_, years) in TABLES.items():
+        table = _read_table(spark, base, name)
+        if table is not None:
+            within_years(table, years).createOrReplaceTempView(name)
+            found.append(name)
     if not found:
         raise FileNotFoundError(f"no dataset found under {base}")
     for view, parts in UNION_VIEWS.items():
@@ -83,12 +85,11 @@ def create_tables(spark: SparkSession, database: str, base: str) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     made = []
     for name, (columns, _) in TABLES.items():
-        path = f"{base.rstrip('/')}/{name}"
-        if not _exists(spark, path):
+        if _read_table(spark, base, name) is None:
             continue
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) "
-            f"USING parquet PARTITIONED BY (year) LOCATION '{path}'"
+            f"USING parquet PARTITIONED BY (year) LOCATION '{base.rstrip('/')}/{name}'"
         )
         repair_partitions(spark, f"{database}.{name}")
         made.append(name)
@@ -106,30 +107,26 @@ def read_first(spark: SparkSession, roots: list[str], name: str, schema: str | N
     Parquet and CSV are known; another suffix is tried as Parquet, then as CSV. With no
     match the result is empty.
     """
+    is_csv = name.lower().endswith((".csv", ".txt"))
     for root in roots:
         path = f"{root.rstrip('/')}/{name}"
-        if not _exists(spark, path):
-            continue
-        try:
-            if name.lower().endswith((".csv", ".txt")):
-                return spark.read.options(header=True, inferSchema=True).csv(path)
+        for kind in ("csv",) if is_csv else ("parquet", "csv"):
+            options = {"header": True, "inferSchema": True} if kind == "csv" else {}
             try:
-                return spark.read.parquet(path)
+                return spark.read.options(**options).format(kind).load(path)
             except AnalysisException:
-                return spark.read.options(header=True, inferSchema=True).csv(path)
-        except AnalysisException:
-            continue
+                continue
     return spark.createDataFrame([], schema or "value string")
 
 
 def read_metadata(spark: SparkSession, roots: list[str], name: str = "metadata.json") -> dict:
     """A small metadata document, {} if there is none."""
     for root in roots:
-        path = f"{root.rstrip('/')}/{name}"
-        if _exists(spark, path):
-            row = spark.read.text(path, wholetext=True).first()
-            try:
-                return json.loads(row["value"]) if row else {}
-            except json.JSONDecodeError:
-                return {}
+        try:
+            row = spark.read.text(f"{root.rstrip('/')}/{name}", wholetext=True).first()
+            return json.loads(row["value"]) if row else {}
+        except AnalysisException:
+            continue
+        except json.JSONDecodeError:
+            return {}
     return {}

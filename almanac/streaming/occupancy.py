@@ -111,3 +111,12 @@ def ward_report(spark: SparkSession, out: str) -> DataFrame:
         F.count(F.lit(1)).alias("visits_admitted"), F.avg("wait_seconds").alias("mean_wait_seconds")
     )
     return current_wards(spark, out).join(mean, "ward", "left")
+
+
+def late_events(run: StreamingQuery) -> int:
+    """Events of a finished run that came after the watermark and changed no waiting time."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in run.recentProgress
+        for state in progress["stateOperators"]
+    )

@@ -194,3 +194,14 @@ def test_dashboards(spark):
     with pytest.raises(ValueError, match="missing required columns"):
         dash.heat_table(df.drop("value"))
     assert shape.drop_aggregates(facts(spark, [("WLD", 1, "x", 1.0), (None, 1, "x", 1.0), ("A", 1, "x", 1.0)])).count() == 2
+
+
+def test_gho_source_filters(spark):
+    records = [
+        {"SpatialDim": "NGA", "SpatialDimType": "COUNTRY", "TimeDim": 2016, "NumericValue": 1},
+        {"SpatialDim": "AFR", "SpatialDimType": "REGION", "TimeDim": 2016, "NumericValue": 1},
+        {"SpatialDim": "NGA", "SpatialDimType": "COUNTRY", "TimeDim": 2014, "NumericValue": 1},
+    ]
+    df = bodies(spark, json.dumps({"value": records}))
+    assert docs.parse_gho(df).count() == 3
+    assert docs.parse_gho(df, countries_only=True, from_year=2015).count() == 1

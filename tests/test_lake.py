@@ -53,6 +53,7 @@ def test_clean_documents_is_idempotent_and_replaces_years(spark, landing, tmp_pa
     assert manifest["20250101T000000Z-a"] == (2, 2) and manifest["20250101T000000Z-b"] == (0, 0)
     # unreadable documents are tried again, the others are skipped
     assert run(2) == {"processed": 0, "unreadable": 1}
+    assert spark.read.parquet(f"{base}/_quarantine").count() == 1
     assert stored(spark, base) == [("GHA", 2001, 3.0), ("NGA", 2000, 1.0)]
     # a changed document replaces its years only, and changing it back counts as a change
     target = landing / "cholera" / "20250101T000000Z-a1.json"
@@ -136,8 +137,11 @@ def test_occupancy_over_several_batches(spark, tmp_path):
     for part in (rows[:half], rows[half:]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
         events = spark.readStream.schema(schema).parquet(source)
-        for run in occupancy.start_occupancy(spark, events, out, offsets):
+        runs = occupancy.start_occupancy(spark, events, out, offsets)
+        for run in runs:
             run.awaitTermination()
+    late = occupancy.late_events(runs[1])
+    assert late == 0
     same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert same(occupancy.current_wards(spark, out), occupancy.ward_counts(df))
     assert same(occupancy.current_waits(spark, out), occupancy.waits(occupancy.visit_times(df)))

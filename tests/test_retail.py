@@ -229,3 +229,9 @@ def test_headline_keys_and_errors(spark):
     only_meta = products.where("is_meta")
     assert retail.without_meta(only_meta).count() == only_meta.count()
     assert not any(r.is_meta for r in retail.without_meta(products).collect())
+
+
+def test_explicit_cancellations(spark):
+    df = spark.createDataFrame([("2", "yes"), ("1", None), ("1", "no")], "InvoiceNo string, Cancelled string")
+    assert [tuple(r) for r in retail.explicit_cancellations(df).collect()] == [("1", "no"), ("2", "yes")]
+    assert retail.explicit_cancellations(df.drop("Cancelled")).count() == 0
