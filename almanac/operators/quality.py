@@ -249,19 +249,24 @@ def column_type(
 def column_profile(df: DataFrame) -> DataFrame:
     """Non-null count, distinct values and type per column of a table.
 
-    Cells are stacked to (column, text) and counted first, so one shuffle of combined
-    values serves all columns and no column takes a pass of its own.
+    Cells are stacked to (column, text) and counted first, so one pass and one shuffle of
+    combined values serve all columns; the NULL cells are counted too and give the rows.
     """
-    rows = df.agg(F.count(F.lit(1)))
     cells = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     long = cells.unpivot([], df.columns, "column", "cell")
     counted = long.groupBy("column", "cell").agg(F.count(F.lit(1)).alias("n"))
-    return profile_counted(counted, ["column"]).select(
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
+    counts = ["_rows", "non_null_count", "unique", "_numbers", "_wholes", "_booleans"]
+    # an empty table has no cells but still its columns
+    full = names.join(profile_counted(counted, ["column"]), "column", "left").withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in counts}
+    )
+    return full.select(
         "column",
         "non_null_count",
         "unique",
         column_type(
-            rows.scalar(), F.col("non_null_count"), F.col("_numbers"), F.col("_wholes"),
+            F.col("_rows"), F.col("non_null_count"), F.col("_numbers"), F.col("_wholes"),
             F.col("_booleans"),
         ).alias("dtype"),
     )
@@ -275,6 +280,7 @@ def profile_counted(counted: DataFrame, keys: list[str]) -> DataFrame:
     cell, n = F.col("cell"), F.col("n")
     number = to_number(cell)
     by_number = counted.groupBy(*keys, number.alias("_number")).agg(
+        F.sum(n).alias("_all"),
         F.sum(F.when(cell.isNotNull(), n)).alias("_cells"),
         F.count(cell).alias("_texts"),
         F.sum(F.when(cell.rlike(WHOLE), n)).alias("_wholes"),
@@ -286,6 +292,7 @@ def profile_counted(counted: DataFrame, keys: list[str]) -> DataFrame:
 
     numbers = F.coalesce(F.sum(F.when(F.col("_number").isNotNull(), F.col("_cells"))), F.lit(0))
     grouped = by_number.groupBy(*keys).agg(
+        total("_all").alias("_rows"),
         total("_cells").alias("non_null_count"),
         total("_texts").alias("_distinct_texts"),
         F.count("_number").alias("_distinct_numbers"),

@@ -199,3 +199,17 @@ def test_quoted_line_breaks_with_multiline(spark, tmp_path):
     checked = fq.check_files(read_csv_cells(spark, str(tmp_path), multiline=True), rules)
     assert [r.row_index for r in checked.issues.collect()] == [1]
     assert checked.files.first().num_rows == 2
+
+
+def test_column_profile_types_and_empty_table(spark):
+    df = spark.createDataFrame(
+        [("1", "1", "true", None, "1.0"), ("2", None, "false", None, "1"), ("2", "3", "true", None, "x")],
+        "a string, b string, c string, d string, e string",
+    )
+    got = {r.column: (r.non_null_count, r.unique, r.dtype) for r in quality.column_profile(df).collect()}
+    assert got == {
+        "a": (3, 2, "int64"), "b": (2, 2, "float64"), "c": (3, 2, "bool"), "d": (0, 0, "float64"),
+        "e": (3, 3, "object"),
+    }
+    empty = {r.column: (r.non_null_count, r.dtype) for r in quality.column_profile(df.limit(0)).collect()}
+    assert empty == {c: (0, "object") for c in "abcde"}
