@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from almanac.functions.countries import default_countries
-from almanac.operators import retail
 from almanac.plans.jobs import clean_documents, retail_job
 from almanac.sinks import tables as sink
 from almanac.sources import lake
