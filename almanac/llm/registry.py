@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from almanac.llm import best_fit_packing, merkle, mixing, secret_scan
+from almanac.llm import best_fit_packing, divergence, merkle, mixing, secret_scan
 
-_PARTS = [mixing, best_fit_packing, secret_scan, merkle]
+_PARTS = [mixing, divergence, best_fit_packing, secret_scan, merkle]
 
 
 def queries() -> dict:
