@@ -238,14 +238,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     by_length = plan.groupBy("_length").agg(
         F.sort_array(F.collect_list(F.struct("_first", "_count", "_sequence", "offset"))).alias("_places")
     )
-    rank = F.col("_rank") + F.col("_before")
+    rank = F.col("_rank")
     place = F.filter("_places", lambda p: (p["_first"] <= rank) & (rank < p["_first"] + p["_count"]))[0]
-    ranked = pieces.join(starts.drop("n"), ["_task", "length"])
+    ranked = pieces.join(starts.drop("n"), ["_task", "length"]).withColumn(
+        "_rank", F.col("_rank") + F.col("_before")
+    )
     # the plan has at most a few rows for each of `capacity` lengths
     placed = ranked.join(F.broadcast(by_length), F.col("length") == F.col("_length"))
     return (
-        placed.withColumn("_rank", rank)
-        .withColumn("_place", place)
+        placed.withColumn("_place", place)
         .withColumn("sequence_id", F.col("_place._sequence") + F.col("_rank") - F.col("_place._first"))
         .withColumn("offset", F.col("_place.offset"))
         .drop("_places", "_place", "_length", "_before", "_rank", "_task")

@@ -29,8 +29,8 @@ COMMON = 0.004
 LEAST_WORDS = 50
 LEAST_CHARS = 200
 # Largest Jensen-Shannon distances (0 to 1) from the nearest language.
-MOST_CLASSES = 0.35
-MOST_WORDS = 0.75
+MOST_CLASSES = 0.3
+MOST_WORDS = 0.36
 OUTPUTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
     "nearest", "class_distance", "word_distance", "kept",
