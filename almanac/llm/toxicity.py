@@ -30,7 +30,9 @@ SAMPLE = {1: 6_000, 0: 12_000}
 HELD_OUT = 5
 # Documents without toxicity that are added to each share's denominator.
 CAUTION = 5.0
-LEAST_SHARE = 0.3
+LEAST_SHARE = 0.5
+# Four letters begin many harmless words too, so they have to tell more.
+LEAST_SHARE_OF_FOUR = 0.8
 LEAST_DOCS = 2
 THRESHOLD = 0.5
 OUTPUTS = ("score", "predicted")
@@ -100,10 +102,12 @@ def options(token: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             out.append([(c, 1.0), ("", 0.2)] if repeated and back > 1 else [(c, 0.0)])
         elif c in LOOKALIKES:
-            drop = 4.0 if c.isdigit() else 1.0
+            drop = 8.0 if c.isdigit() else 3.0
             out.append([*((x, 0.7) for x in LOOKALIKES[c]), ("", drop), (" ", drop)])
         else:
-            out.append([("", 0.5), (" ", 0.5)])
+            # letters set apart one by one are rather one word
+            alone = (i < 2 or not token[i - 2].isalnum()) and (i + 2 >= len(token) or not token[i + 2].isalnum())
+            out.append([("", 0.3), (" ", 3.0 if alone else 0.5)])
     return out
 
 
@@ -239,7 +243,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -
     against = dict(zip(counts["feature"], counts["c"].astype(float)))
     for feature, t in shares.items():
         shares[feature] = t / (t + against.get(feature, 0.0) + CAUTION)
-    return model, {f: p for f, p in shares.items() if p >= LEAST_SHARE}
+    least = lambda f: LEAST_SHARE_OF_FOUR if len(f) == 5 and f[4] == "-" else LEAST_SHARE
+    return model, {f: p for f, p in shares.items() if p >= least(f)}
 
 
 def _scored(model: np.ndarray, shares: dict[str, float]) -> Callable:
