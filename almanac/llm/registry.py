@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from almanac.llm import best_fit_packing, divergence, merkle, mixing, secret_scan, superminhash, toxicity
+from almanac.llm import best_fit_packing, divergence, license_join, merkle, mixing, secret_scan, superminhash, toxicity
 
-_PARTS = [toxicity, superminhash, mixing, divergence, best_fit_packing, secret_scan, merkle]
+_PARTS = [toxicity, superminhash, mixing, divergence, license_join, best_fit_packing, secret_scan, merkle]
 
 
 def queries() -> dict:
