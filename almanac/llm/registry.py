@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from almanac.llm import best_fit_packing, divergence, license_join, merkle, mixing, secret_scan, superminhash, toxicity
+from almanac.llm import (
+    best_fit_packing,
+    crf_language,
+    divergence,
+    license_join,
+    merkle,
+    mixing,
+    secret_scan,
+    superminhash,
+    toxicity,
+)
 
-_PARTS = [toxicity, superminhash, mixing, divergence, license_join, best_fit_packing, secret_scan, merkle]
+_PARTS = [
+    toxicity, superminhash, crf_language, mixing, divergence, license_join, best_fit_packing, secret_scan, merkle,
+]
 
 
 def queries() -> dict:
