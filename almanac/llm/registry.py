@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from almanac.llm import (
     best_fit_packing,
     crf_language,
@@ -12,16 +13,18 @@ from almanac.llm import (
     secret_scan,
     superminhash,
     toxicity,
+    warc,
 )
 
 _PARTS = [
-    toxicity, superminhash, crf_language, mixing, divergence, license_join, best_fit_packing, secret_scan, merkle,
+    warc, toxicity, superminhash, crf_language, mixing, divergence, license_join, best_fit_packing, secret_scan, merkle,
 ]
 
 
 def queries() -> dict:
-    return {name: fn for part in _PARTS for name, fn in part.QUERIES.items()}
+    return {name: fn for part in _PARTS for name, fn in part.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
+    own = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
+    return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
