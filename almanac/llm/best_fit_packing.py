@@ -47,7 +47,7 @@ class Encoder:
     The vocabulary comes from the `tokenizers` file; its ids are in merge order, which is
     checked, so `tiktoken` gives the same ids, some five times faster. Text between single
     blanks or line feeds is encoded word by word, as tokens never reach over such a place;
-    texts with longer white space are encoded whole.
+    texts with longer white space, or with zero characters, are encoded whole.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -74,7 +74,7 @@ class Encoder:
         self._encode = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self._wide = regex.compile(r"\s\s|[^\S \n]").search
+        self._wide = regex.compile(r"\s\s|[^\S \n]|\x00").search
         self._known: dict[str, bytes] = {}
         self._remembered = remembered
 

@@ -74,10 +74,7 @@ def likeness(one: Column, other: Column) -> Column:
 
 
 def changed(one: Column, other: Column) -> Column:
-    """Numbers, from 0, of the paragraphs of `one` that are not in `other`; empty for equal roots.
-
-    Only paragraphs are listed whose section differs too.
-    """
+    """Numbers, from 0, of the paragraphs of `one` that are not in `other`; empty for equal roots."""
     same = F.split_part(one, F.lit("|"), F.lit(1)) == F.split_part(other, F.lit("|"), F.lit(1))
 
     def listed(a: Column, b: Column) -> Column:
