@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Short names in notices and the standard's name for them (fixed values).
 ALIASES = {
@@ -49,20 +48,16 @@ STANDARD_NAMES = {
     "TR": "Türkiye",
     "TW": "Taiwan, Province of China",
     "TZ": "Tanzania, United Republic of",
+    "US": "United States",
     "VA": "Holy See (Vatican City State)",
+    "VC": "Saint Vincent and the Grenadines",
     "VE": "Venezuela, Bolivarian Republic of",
+    "VG": "Virgin Islands, British",
+    "VI": "Virgin Islands, U.S.",
     "VN": "Viet Nam",
 }
 
-COUNTRY_TYPE = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField("alpha_2", T.StringType()),
-        T.StructField("alpha_3", T.StringType()),
-    ]
-)
 LOOKUP_COLUMNS = ["alpha_2", "alpha_3", "numeric", "name", "common_name", "official_name"]
-MOST_LOOKUP_KEYS = 5000
 
 
 def default_countries(spark: SparkSession) -> DataFrame:
@@ -72,6 +67,8 @@ def default_countries(spark: SparkSession) -> DataFrame:
     for code in locale.getISOCountries():
         place = locale("", code)
         shown = place.getDisplayCountry(locale.ENGLISH)
+        # the standard writes these words out
+        shown = shown.replace(" & ", " and ").replace("St. ", "Saint ").replace("São Tomé and Príncipe", "Sao Tome and Principe")
         rows.append((STANDARD_NAMES.get(code, shown), code, place.getISO3Country(), shown))
     return spark.createDataFrame(rows, "name string, alpha_2 string, alpha_3 string, common_name string")
 
@@ -83,11 +80,11 @@ def read_countries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def country_lookup(countries: DataFrame) -> Column:
-    """The dimension as one literal map from lower-case key to (name, alpha_2, alpha_3).
+def country_keys(countries: DataFrame) -> DataFrame:
+    """Every lower-case text that names a country, with its struct (name, alpha_2, alpha_3).
 
-    The standard has about 250 countries, so the map is small and bounded; its size is
-    checked, and a larger frame is refused as it cannot be a country list.
+    Of countries that share a text the first by name is taken. Aliases follow the
+    standard's name they stand for.
     """
     columns = [c for c in LOOKUP_COLUMNS if c in countries.columns]
     keys = (
@@ -99,29 +96,23 @@ def country_lookup(countries: DataFrame) -> Column:
         .groupBy("key")
         .agg(F.min("country").alias("country"))
     )
-    rows = keys.limit(MOST_LOOKUP_KEYS + 1).collect()
-    if len(rows) > MOST_LOOKUP_KEYS:
-        raise ValueError(f"more than {MOST_LOOKUP_KEYS} lookup keys: not a country dimension")
-    found = {row["key"]: row["country"] for row in rows}
-    for alias, name in ALIASES.items():
-        if name.lower() in found:
-            found[alias] = found[name.lower()]
-    entries = []
-    for key in sorted(found):
-        value = found[key]
-        entries += [
-            F.lit(key),
-            F.struct(
-                F.lit(value["name"]).cast("string").alias("name"),
-                F.lit(value["alpha_2"]).cast("string").alias("alpha_2"),
-                F.lit(value["alpha_3"]).cast("string").alias("alpha_3"),
-            ),
-        ]
-    if not entries:
-        raise ValueError("the country dimension is empty")
-    return F.create_map(*entries)
-
-
-def resolve_country(candidates: Column, lookup: Column) -> Column:
-    """The first candidate found in the dimension, as a struct, else NULL."""
-    return F.get(F.array_compact(F.transform(candidates, lambda text: lookup[text])), F.lit(0))
+    names = F.create_map(*[F.lit(x) for alias, name in ALIASES.items() for x in (name.lower(), alias)])
+    short = keys.select(names[F.col("key")].alias("key"), "country").where("key is not null")
+    longer = keys.where(~F.col("key").isin(*ALIASES)).unionByName(
+        keys.where(F.col("key").isin(*ALIASES)).join(short.select("key"), "key", "left_anti")
+    )
+    return longer.unionByName(short)
+
+
+def with_country(df: DataFrame, title: str, candidates: Column, countries: DataFrame, name: str) -> DataFrame:
+    """Add the country of a title as a struct: the first of its candidate texts that names one.
+
+    Each distinct title is looked up once, by an equality join on its candidates that the
+    runtime sends the keys to or shuffles, by their size.
+    """
+    titles = df.select(F.col(title).alias("_title"), candidates.alias("_texts")).where("_title is not null").distinct()
+    texts = titles.select("_title", F.posexplode("_texts").alias("_place", "key"))
+    found = texts.join(country_keys(countries), "key").groupBy("_title").agg(
+        F.min_by("country", "_place").alias(name)
+    )
+    return df.join(found, df[title] == found["_title"], "left").drop("_title")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.functions.countries import country_lookup, resolve_country
+from almanac.functions.countries import with_country
 from almanac.functions.dates import parse_utc
 from almanac.functions.hashing import row_key
 from almanac.functions.numbers import to_number
@@ -140,12 +140,12 @@ def parse_outbreaks(
     Disease and country come from the title; the country dimension resolves names.
     """
     keep = keep or []
-    lookup = country_lookup(countries)
     rows = _records(df, NOTICE_RECORDS, keep).withColumn(
         "publication_date", parse_utc(F.col("r.PublicationDate"))
     ).where("publication_date is not null")
     title = or_null(F.col("r.Title"))
-    resolved = rows.withColumn("_country", resolve_country(country_candidates(title), lookup))
+    titled = rows.withColumn("_title_text", title)
+    resolved = with_country(titled, "_title_text", country_candidates(F.col("_title_text")), countries, "_country")
     return resolved.select(
         *keep,
         F.coalesce(or_null(F.col("r.Id")), F.col("r.DonId")).alias("outbreak_id"),
@@ -190,6 +190,9 @@ def normalise_notices(df: DataFrame, keep: list[str] | None = None) -> DataFrame
 Parser = Callable[[DataFrame, list[str]], DataFrame]
 
 
+BANK_DATASETS = {"wb_hospital_beds_per_1000", "wb_physicians_per_1000"}
+
+
 def parsers(countries: DataFrame) -> dict[str, Parser]:
     """Dataset name -> parser."""
     return {

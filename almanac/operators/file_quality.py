@@ -1,6 +1,6 @@
 """Quality reports for many CSV files at once, each with its own header.
 
-The parsed lines are checkpointed once. A first pass counts the cells of every file and
+The lines are scanned twice and never copied. A first pass counts the cells of every file and
 position, which yields the headers, the column profiles and the sizes of the scan ranges;
 a second pass applies the rules. Nothing is read per file on the driver, and a file's
 lines are never gathered in one task.
@@ -21,13 +21,11 @@ from almanac.operators.quality import (
     flagged,
     profile_counted,
 )
-from almanac.session import checkpointed
+from almanac.session import checkpointed, shuffle_width
 from almanac.sources.csv import CELLS, blank_na
 
 # Position of the pseudo cell that carries the scan range of a line.
 _RANGE = -1
-# Column entries (about 50 bytes each) up to which the file layouts are broadcast.
-MOST_BROADCAST_ENTRIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -126,19 +124,15 @@ def _cell(column: str) -> tuple[Column, Column]:
 def check_files(lines: DataFrame, rules: list[Rule] | None = None) -> FileQuality:
     """Check the lines read by `read_csv_cells` against the rules."""
     rules = rules or DEFAULT_RULES
-    lines = checkpointed(lines)
     counted = checkpointed(_count_cells(lines))
     ranges = _ranges(counted)
     sizes = ranges.groupBy("file").agg((F.sum("lines") - 1).alias("num_rows"))
+    # stored, so their size is known and the planner can send small ones to the lines
     headers = checkpointed(_headers(counted))
-    # one entry per file and column bounds what is broadcast; beyond the limit the joins are
-    # left to the runtime, which splits a file or column with many lines
-    entries = headers.count()
-    known = F.broadcast if entries <= MOST_BROADCAST_ENTRIES else (lambda frame: frame)
-    columns = checkpointed(_columns(counted, known(headers), sizes))
-    layout = _layout(columns)
-
-    placed = add_issues(lines.join(known(layout), "file"), rules, [_cell(r.column) for r in rules])
+    columns = checkpointed(_columns(counted, headers, sizes))
+    layout = checkpointed(_layout(columns))
+
+    placed = add_issues(lines.join(layout, "file"), rules, [_cell(r.column) for r in rules])
     found = flagged(placed.select("file", "block", "seq", "issues"))
     issues = checkpointed(
         found.join(ranges, ["file", "block"])
@@ -179,33 +173,18 @@ def _issue_json(i: Column) -> Column:
     ).otherwise(plain)
 
 
-def report_documents(checked: FileQuality, inline_issues: int = 100_000) -> DataFrame:
-    """One JSON report per file.
+def report_lines(checked: FileQuality) -> DataFrame:
+    """The JSON report of each file as lines: a head, one line per row with issues, a tail.
 
-    A report holds all row issues of its file. A file with more than `inline_issues` of
-    them would make one unbounded document; its report says so with `row_issues_inline`
-    false, and its issues are in `issue_documents`, which holds those of every file.
+    Ordered by (file, part, row_index) the lines of a file are its document, whatever its
+    number of issues; no file's issues are gathered in one row.
     """
-    small = checked.files.where(F.col("total_issues") <= inline_issues).select("file")
-    per_row = checked.issues.join(small, "file", "left_semi").select(
-        "file",
-        "row_index",
-        F.concat(
-            F.lit('"'), F.col("row_index").cast("string"), F.lit('": ['),
-            F.array_join(F.transform("issues", _issue_json), ", "), F.lit("]"),
-        ).alias("text"),
-    )
-    rows = per_row.groupBy("file").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("row_index", "text"))), lambda r: r["text"]),
-            ", ",
-        ).alias("row_text")
-    )
     stats = F.concat(
         F.regexp_replace(F.to_json(F.array("name")), r"^\[|\]$", ""),
         F.lit(": "),
         F.to_json(F.struct("non_null_count", "unique", "dtype")),
     )
+    # a few entries per file, one for each column of its header
     columns = checked.columns.groupBy("file").agg(
         F.array_join(
             F.transform(
@@ -214,24 +193,55 @@ def report_documents(checked: FileQuality, inline_issues: int = 100_000) -> Data
             ", ",
         ).alias("column_text")
     )
-    inline = F.col("total_issues") <= inline_issues
-    return (
-        checked.files.join(columns, "file").join(rows, "file", "left").select(
-            "file",
-            "num_rows",
-            "total_issues",
-            F.concat(
-                F.lit('{"num_rows": '), F.col("num_rows").cast("string"),
-                F.lit(', "num_columns": '), F.col("num_columns").cast("string"),
-                F.lit(', "columns_present": '), F.to_json("columns_present"),
-                F.lit(', "row_issues_inline": '), inline.cast("string"),
-                F.lit(', "row_issues": {'), F.coalesce("row_text", F.lit("")),
-                F.lit('}, "summary": {"columns": {'), F.col("column_text"),
-                F.lit('}}, "missing_required_columns": '), F.to_json("missing_required_columns"),
-                F.lit(', "total_issues": '), F.col("total_issues").cast("string"), F.lit("}"),
-            ).alias("report"),
-        )
+    first = checked.issues.groupBy("file").agg(F.min("row_index").alias("first_row"))
+    rows = checked.issues.join(first, "file").select(
+        "file",
+        F.lit(1).alias("part"),
+        "row_index",
+        F.concat(
+            F.when(F.col("row_index") > F.col("first_row"), ", ").otherwise(""),
+            F.lit('"'), F.col("row_index").cast("string"), F.lit('": ['),
+            F.array_join(F.transform("issues", _issue_json), ", "), F.lit("]"),
+        ).alias("line"),
     )
+    head = F.concat(
+        F.lit('{"num_rows": '), F.col("num_rows").cast("string"),
+        F.lit(', "num_columns": '), F.col("num_columns").cast("string"),
+        F.lit(', "columns_present": '), F.to_json("columns_present"), F.lit(', "row_issues": {'),
+    )
+    tail = F.concat(
+        F.lit('}, "summary": {"columns": {'), F.col("column_text"),
+        F.lit('}}, "missing_required_columns": '), F.to_json("missing_required_columns"),
+        F.lit(', "total_issues": '), F.col("total_issues").cast("string"), F.lit("}"),
+    )
+    ends = checked.files.join(columns, "file").select(
+        "file",
+        F.posexplode(F.array(F.struct(F.lit(0).alias("part"), head.alias("line")),
+                             F.struct(F.lit(2).alias("part"), tail.alias("line")))).alias("_n", "e"),
+    ).select("file", F.col("e.part").alias("part"), F.lit(-1).cast("bigint").alias("row_index"), F.col("e.line").alias("line"))
+    return ends.unionByName(rows)
+
+
+def report_key(file: Column, source: str) -> Column:
+    """`reports/<path below the source>.qc.json`, with the path decoded."""
+    root = source.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
+    path = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+    below = F.substring(path, F.instr(path, root) + len(root), F.length(path))
+    return F.concat(F.lit("reports/"), below, F.lit(".qc.json"))
+
+
+def write_reports(checked: FileQuality, source: str, path: str) -> str:
+    """Write every report as a text document of its own, in the folder named by its key.
+
+    The lines are range-partitioned in document order, so a large report is written by
+    several tasks as consecutive files.
+    """
+    keyed = report_lines(checked).withColumn("report_key", report_key(F.col("file"), source))
+    order = ["report_key", "part", "row_index"]
+    width = shuffle_width(keyed.sparkSession)
+    ranged = keyed.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    ranged.select("report_key", "line").write.mode("overwrite").partitionBy("report_key").text(path)
+    return path
 
 
 def issue_documents(checked: FileQuality) -> DataFrame:

@@ -170,9 +170,11 @@ def _mark_duplicates(df: DataFrame, column: str) -> DataFrame:
         .groupBy(column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         .select(column, F.lit(True).alias(f"_dup_{column}"))
     )
-    return df.join(repeated, column, "left").withColumn(
+    # rows without a key would all meet in one partition of the join
+    keyed = df.where(F.col(column).isNotNull()).join(repeated, column, "left").withColumn(
         f"_dup_{column}", is_true(F.col(f"_dup_{column}"))
     )
+    return keyed.unionByName(df.where(F.col(column).isNull()).withColumn(f"_dup_{column}", F.lit(False)))
 
 
 def row_issues(df: DataFrame, key: str, rules: list[Rule] | None = None) -> DataFrame:

@@ -274,6 +274,14 @@ def daily_activity(df: DataFrame) -> DataFrame:
     )
 
 
+def daily_lines(df: DataFrame) -> DataFrame:
+    """Lines and revenue per day, cancellations left out and adjustments left in."""
+    return _dated(df.where(~F.col("is_cancellation"))).groupBy("date").agg(
+        F.count(F.lit(1)).alias("transactions"),
+        F.coalesce(F.sum("LineTotal").cast("double"), F.lit(0.0)).alias("operational_revenue"),
+    )
+
+
 def bad_share_by_day(df: DataFrame, above: float | None = None) -> DataFrame:
     """Share of bad lines per day, optionally only days above a limit."""
     shares = _dated(df).groupBy("date").agg(

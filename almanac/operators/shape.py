@@ -149,16 +149,14 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def pivot_mean(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
+def pivot_mean(df: DataFrame, row: str, column: str, value: str, labels: list | None = None) -> DataFrame:
     """Mean per row and column, one output column per column value in ascending order.
 
-    The column values become columns, so there must be few of them (years); their number
-    is checked.
+    The column values become columns. Name them in `labels` to read the input once; else
+    all values found are taken.
     """
     clean = clean_numeric(df, [value]).dropna(subset=[row, column])
-    labels = sorted(
-        r[0] for r in clean.select(F.col(column).cast("int")).distinct().limit(1001).collect()
-    )
-    if len(labels) > 1000:
-        raise ValueError(f"{column} has more than 1000 values: too many to pivot")
+    if labels is None:
+        found = clean.select(F.col(column).cast("int").alias("label")).distinct()
+        labels = sorted(r["label"] for r in found.collect())
     return clean.groupBy(row).pivot(column, labels).agg(F.avg(value))

@@ -20,9 +20,9 @@ INVOICE_FIELDS = ["vendor", "total", "date"]
 
 def imaging_catalogue(documents: DataFrame) -> DataFrame:
     """One row per metadata document (`body`), allowed fields only."""
-    return documents.select(
-        *[F.get_json_object("body", f"$.{name}").alias(name) for name in IMAGING_FIELDS]
-    ).where("SOPInstanceUID is not null")
+    shape = "struct<" + ",".join(f"`{name}`:string" for name in IMAGING_FIELDS) + ">"
+    parsed = documents.select(F.from_json("body", shape).alias("d"))
+    return parsed.select("d.*").where("SOPInstanceUID is not null")
 
 
 def studies(catalogue: DataFrame, modality: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from almanac.functions import compat
-from almanac.functions.countries import country_lookup, resolve_country
+from almanac.functions.countries import with_country
 from almanac.functions.text import country_candidates, disease_from_title, html_to_text
 from almanac.operators import indicators as ind
 from almanac.operators import shape
@@ -255,10 +255,9 @@ def disease_of_title(spark, sf_dir):
 
 @query
 def country_of_title(spark, sf_dir):
-    found = resolve_country(
-        country_candidates(F.col("title")), country_lookup(places(spark, sf_dir))
-    )
-    return notices(spark, sf_dir).select("o_orderkey", found.alias("c")).select(
+    titles = notices(spark, sf_dir).select("o_orderkey", "title")
+    found = with_country(titles, "title", country_candidates(F.col("title")), places(spark, sf_dir), "c")
+    return found.select(
         "o_orderkey", F.col("c.name").alias("country"), F.col("c.alpha_2").alias("country_iso2"),
         F.col("c.alpha_3").alias("country_iso3"),
     )

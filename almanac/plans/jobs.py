@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.operators import retail, rfm
-from almanac.operators.documents import parsers, readable
+from almanac.operators.documents import BANK_DATASETS, parsers, readable, unreadable_years
 from almanac.sinks import tables as sink
+from almanac.session import checkpointed
 from almanac.sources.csv import read_csv_defensive
 from almanac.sources.documents import new_documents
 
@@ -79,8 +80,8 @@ def clean_documents(
 
     The newest document of a batch wins a year, and a year already stored is replaced
     whole. The manifest is written last, so a failed run is repeated without harm.
-    Unreadable documents go to `_quarantine` and are not recorded. Returns the number of
-    documents by outcome.
+    Unreadable documents go to `_quarantine` and are not recorded; World Bank records with a
+    bad year go to `_quarantine_records` and are counted. Returns the numbers by outcome.
     """
     spark = documents.sparkSession
     base = base.rstrip("/")
@@ -100,10 +101,18 @@ def clean_documents(
         keep = ["raw_key", "landed_at"]
         entries = good.select("raw_key", "hash")
         tallies = []
+        outcome = {"processed": counts.get(True, 0), "unreadable": counts.get(False, 0), "bad_records": 0}
         for name, parse in parsers(countries).items():
             if name not in names:
                 continue
-            rows = parse(good.where(F.col("dataset") == name), keep)
+            own = good.where(F.col("dataset") == name)
+            rows = checkpointed(parse(own, keep))  # parsed once for the tally, the choice and the write
+            if name in BANK_DATASETS:
+                bad = checkpointed(unreadable_years(own, ["raw_key", "hash", "landed_at"]))
+                n = bad.count()
+                if n:
+                    sink.quarantine(bad, f"{base}/_quarantine_records")
+                outcome["bad_records"] += n
             tallies.append(
                 rows.groupBy("raw_key", "year").agg(F.count(F.lit(1)).alias("n"))
                 .groupBy("raw_key").agg(
@@ -123,7 +132,6 @@ def clean_documents(
                 F.lit(at.isoformat(" ")).cast("timestamp").alias("processed_at"),
             )
             sink.append_manifest(recorded, f"{base}/_manifest")
-        outcome = {"processed": counts.get(True, 0), "unreadable": counts.get(False, 0)}
         sink.append_run_log(spark, f"{base}/_runs", "clean_documents", "done", outcome["processed"])
         return outcome
     finally:

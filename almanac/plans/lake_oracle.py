@@ -114,6 +114,10 @@ UNION ALL SELECT 'parts', 'price', 'float64', COUNT(*) FROM part""",
   UNION ALL SELECT 'suppliers', COUNT(*) FROM supplier UNION ALL SELECT 'parts', COUNT(*) FROM part)
 SELECT folder, num_rows, (SELECT COUNT(*) FROM found f WHERE f.folder = counts.folder) AS total_issues FROM counts""",
     "file_report_documents": f"""WITH {SHEETS} SELECT folder, COUNT(*) AS total_issues FROM found GROUP BY 1""",
+    "report_issue_lines": f"""WITH {SHEETS} SELECT folder, "column", issue, value, COUNT(*) AS n FROM found
+GROUP BY 1, 2, 3, 4""",
+    "report_keys": """SELECT unnest(['people', 'suppliers', 'parts']) AS folder, true AS shaped""",
+    "raw_file_hashes": """SELECT sha256(string_agg(r_name || chr(10), '' ORDER BY r_name)) AS sha256 FROM region""",
     "report_verdicts": f"""WITH {REPORTS} SELECT CASE WHEN total_issues = 0 AND NOT lacks THEN 'pass' ELSE 'fail' END AS status,
        COUNT(*) AS files FROM reports GROUP BY 1""",
     "quality_trend": f"""WITH {REPORTS} SELECT date_trunc('day', ts) AS day, COUNT(*) AS files,

@@ -124,11 +124,45 @@ def file_qc_stream(spark, sf_dir):
     )
 
 
+def _written_reports(spark, sf_dir):
+    path = derived.write_sheets(spark, sf_dir, staging_path(spark, "sheets"))
+    checked = fq.check_files(read_csv_cells(spark, [f"{path}/{d}" for d in ("people", "suppliers", "parts")]))
+    written = fq.write_reports(checked, path, staging_path(spark, "report-documents"))
+    return spark.read.text(written).withColumn("folder", F.split("report_key", "/")[1])
+
+
 @query
 def file_report_documents(spark, sf_dir):
-    reports = fq.report_documents(_checked(spark, sf_dir))
-    total = F.get_json_object("report", "$.total_issues").cast("bigint")
-    return reports.groupBy(_folder()).agg(F.sum(total).alias("total_issues"))
+    total = F.regexp_extract("value", r'"total_issues": (\d+)}$', 1)
+    tails = _written_reports(spark, sf_dir).where(total != "")
+    return tails.groupBy("folder").agg(F.sum(total.cast("bigint")).alias("total_issues"))
+
+
+@query
+def report_issue_lines(spark, sf_dir):
+    # one line per row with issues, as stored in the documents: "row": [issues]
+    rows = _written_reports(spark, sf_dir).where(F.col("value").rlike(r'^(, )?"\d+": \['))
+    listed = F.from_json(
+        F.regexp_replace("value", r'^(, )?"\d+": ', ""), "array<struct<column:string,issue:string,value:string>>"
+    )
+    issues = rows.select("folder", F.explode(listed).alias("i"))
+    return issues.groupBy("folder", "i.column", "i.issue", "i.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def report_keys(spark, sf_dir):
+    # the sheets of all folders have file names of their own, so the folder must be in the key
+    keys = _written_reports(spark, sf_dir).select("report_key", "folder").distinct()
+    shaped = F.col("report_key").rlike(r"^reports/[a-z]+/part-[^/]+[.]csv[.]qc[.]json$")
+    return keys.groupBy("folder").agg(F.every(shaped).alias("shaped"))
+
+
+@query
+def raw_file_hashes(spark, sf_dir):
+    # every file of a table's copy is hashed in pieces; one line per file tells its content
+    path = staging_path(spark, "raw")
+    table(spark, sf_dir, "region").select(F.col("r_name").alias("value")).orderBy("value").coalesce(1).write.text(path)
+    return sink.file_hashes(spark, f"{path}/*.txt").select("sha256")
 
 
 @query

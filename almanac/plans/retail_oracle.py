@@ -161,7 +161,12 @@ labelled AS (
 
 
 def _spikes(score: str, test: str, limit: str, only: bool = True) -> str:
-    return f"""WITH {DAILY},
+    return f"""WITH {LINES},
+daily AS (
+  SELECT date_trunc('day', InvoiceDate) AS date, COUNT(*) AS transactions,
+         coalesce(CAST(SUM(LineTotal) AS DOUBLE), 0) AS operational_revenue
+  FROM lines WHERE NOT is_cancellation GROUP BY 1
+),
 stats AS (SELECT {limit} FROM daily)
 SELECT date, transactions, {'operational_revenue,' if only else ''}
        round({score}, 6) AS spike_score, {test} AS is_spike

@@ -145,9 +145,7 @@ def daily_describe(spark, sf_dir):
 
 
 def _spikes(spark, sf_dir, method, **limits):
-    daily = checkpointed(retail.daily_kpis(retail_lines(spark, sf_dir))).select(
-        "date", "transactions", "operational_revenue"
-    )
+    daily = checkpointed(retail.daily_lines(retail_lines(spark, sf_dir)))
     flagged = profiles.spikes(daily, method, **limits)
     return flagged.withColumn("spike_score", F.round("spike_score", 6))
 
@@ -169,7 +167,7 @@ def spikes_percentile(spark, sf_dir):
 
 @query
 def spike_flags(spark, sf_dir):
-    daily = checkpointed(retail.daily_kpis(retail_lines(spark, sf_dir))).select("date", "transactions")
+    daily = checkpointed(retail.daily_lines(retail_lines(spark, sf_dir))).select("date", "transactions")
     return profiles.flag_spikes(daily, "percentile").withColumn(
         "spike_score", F.round("spike_score", 6)
     )

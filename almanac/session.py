@@ -55,16 +55,16 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and return it with its lineage cut.
+    """Store `df` as Parquet in the shared folder and return it read back, its lineage cut.
 
     Used where a frame is read more than once and a second evaluation could differ
-    (sampled range bounds) or would repeat a large shuffle. A lost executor only
-    means reading the files again.
+    (sampled range bounds) or would repeat a large shuffle. A lost executor only means
+    reading the files again; later reads take only the columns they need, and the planner
+    knows the size.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+    path = staging_path(df.sparkSession, "frame")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import time
+from collections.abc import Iterator
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.dates import month_label, year_label
-from almanac.functions.hashing import sha256
+from almanac.session import checkpointed
 
+HASH_PIECE = 1 << 20
 MANIFEST_COLUMNS = (
     "raw_key string, hash string, rows bigint, written_partitions bigint, processed_at timestamp"
 )
@@ -82,7 +87,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def append_manifest(entries: DataFrame, path: str) -> None:
     """Append processed keys. Written after their data, so a retry only repeats the work."""
     names = [c.split()[0] for c in MANIFEST_COLUMNS.split(", ")]
-    entries.select(*names).coalesce(1).write.mode("append").parquet(path)
+    entries.select(*names).write.mode("append").parquet(path)
 
 
 def quarantine(documents: DataFrame, path: str) -> None:
@@ -108,24 +113,21 @@ def export_result(
 ) -> dict:
     """Write a query result as JSON records and CSV and return its run metrics.
 
-    The result is evaluated once per format wanted; rows are counted by the writer.
+    The result is evaluated once and stored; the formats are written from what was stored.
     """
     start = time.perf_counter()
-    outputs, rows = [], None
+    outputs = []
+    stored = checkpointed(df)
     for wanted, kind in ((json_lines, "json"), (csv, "csv")):
         if not wanted:
             continue
         target = f"{path.rstrip('/')}/{name}.{kind}"
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if kind == "json":
-            counted.write.mode("overwrite").json(target)
+            stored.write.mode("overwrite").json(target)
         else:
-            write_csv(counted, target, timestamps="yyyy-MM-dd HH:mm:ss")
-        rows = seen.get["rows"]
+            write_csv(stored, target, timestamps="yyyy-MM-dd HH:mm:ss")
         outputs.append(target)
-    if rows is None:
-        rows = df.count()
+    rows = stored.count()
     return {
         "query": name,
         "rows": rows,
@@ -145,28 +147,39 @@ def write_query_metrics(spark: SparkSession, metrics: list[dict], path: str) ->
     ).coalesce(1).write.mode("overwrite").json(path)
 
 
+def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = []
+        for path in batch["path"]:
+            system, place = fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with system.open_input_stream(place) as stream:
+                while piece := stream.read(HASH_PIECE):
+                    digest.update(piece)
+            found.append((path, digest.hexdigest()))
+        yield pd.DataFrame(found, columns=["path", "sha256"])
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of each raw file (files up to 2 GB)."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("path", sha256(F.col("content")).alias("sha256"))
+    """SHA-256 of each raw file of any size, read in pieces by the task that has its path."""
+    # only paths are listed, so no file becomes a value of a row
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.mapInPandas(_hash_files, "path string, sha256 string")
 
 
 def write_metadata(
     spark: SparkSession, path: str, source: str, tables: dict[str, DataFrame], at: dt.datetime
 ) -> dict:
-    """Run metadata as one JSON document: time, row counts, columns, source and its hash.
+    """Run metadata as one JSON document: time, row counts, columns, source and its hashes.
 
     `tables` are written results read back, so counting them only reads footers. The hashes
-    of a source of several files go to a table beside the document.
+    of the source's files are a table beside the document, which names it.
     """
-    hashes = file_hashes(spark, source)
-    some = hashes.limit(2).collect()
-    if len(some) > 1:
-        write_parquet(hashes, path.rstrip("/") + "_hashes")
+    hashes = write_parquet(file_hashes(spark, source), path.rstrip("/") + "_hashes")
     meta = {
         "generated_at": at.isoformat() + "Z",
         "rows": {name: df.count() for name, df in tables.items()},
-        "input_raw_file_hash": {"sha256": some[0]["sha256"]} if len(some) == 1 else {},
+        "input_raw_file_hash": {"table": hashes},
         "columns": {name: df.columns for name, df in tables.items()},
         "source": source,
     }

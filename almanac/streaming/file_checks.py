@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from almanac.operators.file_quality import check_files, issue_documents, report_documents
+from almanac.operators.file_quality import check_files, issue_documents, write_reports
 from almanac.operators.quality import Rule
 from almanac.sources.csv import read_csv_cells
 from almanac.sources.documents import FILE_SCHEMA
@@ -33,7 +33,7 @@ def check_arrivals(
 
     The stream carries only the paths of new files, at most `files_per_batch` at a time;
     each batch reads its files as one distributed scan. Writes `files`, `columns`, `issues`
-    and `reports` under `out`.
+    and, one document per file under its own key, `reports` under `out`.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -57,9 +57,7 @@ def check_arrivals(
         _store(issue_documents(checked), f"{out}/issues", batch_id)
         _store(checked.columns, f"{out}/columns", batch_id)
         _store(checked.files.withColumn("checked_at", at), f"{out}/files", batch_id)
-        key = F.concat(F.lit("reports/"), F.element_at(F.split("file", "/"), -1), F.lit(".qc.json"))
-        reports = report_documents(checked).select(key.alias("report_key"), "file", "report")
-        _store(reports, f"{out}/reports", batch_id)
+        write_reports(checked, source, f"{out}/reports/batch={batch_id}")
 
     return (
         arrivals.writeStream.foreachBatch(check)

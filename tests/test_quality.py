@@ -82,9 +82,9 @@ def checked(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def reports(checked):
     found = {}
-    for row in fq.report_documents(checked).collect():
-        found[row.file.split("/")[-1].removesuffix(".csv")] = json.loads(row.report)
-    return found
+    for row in fq.report_lines(checked).orderBy("file", "part", "row_index").collect():
+        found.setdefault(row.file.split("/")[-1].removesuffix(".csv"), []).append(row.line)
+    return {name: json.loads("".join(lines)) for name, lines in found.items()}
 
 
 @pytest.mark.parametrize("name", sorted(FILES))
@@ -113,13 +113,19 @@ def test_report_details(reports):
     assert mismatch == {"column": "age", "issue": "type_mismatch", "expected": "int", "value": "twenty"}
 
 
-def test_big_reports_point_to_the_issue_table(checked):
-    rows = {r.file.split("/")[-1]: json.loads(r.report) for r in fq.report_documents(checked, 4).collect()}
-    assert rows["bad_missing_id.csv"]["row_issues_inline"] is False
-    assert rows["bad_missing_id.csv"]["total_issues"] == 5
-    assert rows["bad_age_string.csv"]["row_issues_inline"] is True
-    kept = fq.issue_documents(checked).where(F.col("file").endswith("bad_missing_id.csv"))
-    assert kept.count() == 5
+def test_written_reports_have_their_whole_key(spark, tmp_path):
+    for folder in ("x", "y z+"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        rows = "".join(f"{i},n,200\n" for i in range(300))
+        (tmp_path / "in" / folder / "data.csv").write_text("id,name,age\n" + rows)
+    checked = fq.check_files(read_csv_cells(spark, [str(tmp_path / "in" / f) for f in ("x", "y z+")]))
+    written = fq.write_reports(checked, str(tmp_path / "in"), str(tmp_path / "out"))
+    lines = spark.read.text(written).collect()
+    assert {r.report_key for r in lines} == {"reports/x/data.csv.qc.json", "reports/y z+/data.csv.qc.json"}
+    for folder in sorted((tmp_path / "out").glob("report_key=*")):
+        text = "".join(part.read_text() for part in sorted(folder.glob("part-*")))
+        report = json.loads(text)
+        assert report["total_issues"] == 300 and len(report["row_issues"]) == 300
 
 
 def test_verdicts(checked):
