@@ -84,9 +84,22 @@ def base_figures(text: Column, of: Column) -> dict[str, Column]:
     }
 
 
-def class_counts(text: Column) -> list[Column]:
-    """Characters per class; classes do not overlap, other characters are left out."""
-    return [F.length(text) - F.length(F.regexp_replace(text, pattern, "")) for pattern in CLASSES.values()]
+def class_counts(text: Column) -> Column:
+    """Array of the characters per class; the classes do not overlap, others are left out.
+
+    Each class is taken out of what the ones before it left, so the later ones, which are
+    rare, look at short texts.
+    """
+
+    def taken(rest: Column, patterns: list[str], counts: list[Column]) -> Column:
+        if not patterns:
+            return F.array(*counts)
+        without_class = F.regexp_replace(rest, patterns[0] + "+", "")
+        return let(
+            without_class, lambda left: taken(left, patterns[1:], [*counts, F.length(rest) - F.length(left)])
+        )
+
+    return let(text, lambda t: taken(t, list(CLASSES.values()), []))
 
 
 def references(docs: DataFrame, common: float = COMMON) -> dict[str, dict]:
@@ -97,9 +110,9 @@ def references(docs: DataFrame, common: float = COMMON) -> dict[str, dict]:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     given = docs.where(F.col("lang").isNotNull()).select("lang", text.alias("text"))
-    counts = class_counts(F.col("text"))
-    sums = given.select("lang", *[c.alias(k) for k, c in zip(CLASSES, counts)]).groupBy("lang")
-    classes = sums.agg(*[F.sum(k).alias(k) for k in CLASSES]).collect()
+    counted = given.select("lang", class_counts(F.col("text")).alias("counts"))
+    sums = [F.sum(F.get("counts", F.lit(i))).alias(k) for i, k in enumerate(CLASSES)]
+    classes = counted.groupBy("lang").agg(*sums).collect()
     split = given.select("lang", F.explode(F.split(F.lower("text"), SPACE)).alias("word"))
     counted = stored(
         split.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
@@ -203,7 +216,7 @@ def judge(docs: DataFrame, refs: dict[str, dict] | None = None) -> DataFrame:
         *own,
         *[c.alias(k) for k, c in figures.items()],
         tally(F.transform("_words", lambda w: F.lower(w)), listed).alias("_tally"),
-        F.array(*class_counts(F.col("_text"))).alias("_classes"),
+        class_counts(F.col("_text")).alias("_classes"),
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     compared = [
