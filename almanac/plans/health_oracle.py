@@ -53,6 +53,8 @@ _TOP5 = f"""best AS (
   GROUP BY 1 ORDER BY avg(value) DESC, country_code LIMIT 5)"""
 
 ORACLE = {
+    "markup_text": """SELECT o_orderkey, o_orderpriority || ' café & ' || o_orderstatus || ' var tag = "<p>"; #' || o_orderkey AS text
+FROM orders""",
     "latest_per_country": f"""WITH {MANY} SELECT country_code, year, value FROM {_ranked(LIFE)}
 ORDER BY value DESC, country_code LIMIT 100""",
     "top20_latest": f"""WITH {MANY} SELECT country_code, year, value FROM {_ranked(CHOLERA)}

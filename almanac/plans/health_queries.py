@@ -248,6 +248,19 @@ def html_text(spark, sf_dir):
     return pages.select("page_id", html_to_text("html").alias("text"))
 
 
+@query
+def markup_text(spark, sf_dir):
+    """Markup made from the orders, so that its text is known."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    markup = F.concat(
+        F.lit('<!DOCTYPE html><div title="a > b">'), "o_orderpriority", F.lit("</div><!-- <p>"), key,
+        F.lit("</p> --><p class='x'>caf&eacute; &amp; "), "o_orderstatus",
+        F.lit('</p><script>var tag = "<p>";</script><br/>#'), key, F.lit(" <span unfinished"),
+    )
+    return orders.select("o_orderkey", html_to_text(markup).alias("text"))
+
+
 @query
 def disease_of_title(spark, sf_dir):
     return notices(spark, sf_dir).select("o_orderkey", disease_from_title(F.col("title")).alias("disease"))

@@ -134,6 +134,8 @@ SELECT o_orderkey, code AS country_code, lower(code) AS country_name, year, o_to
        o_orderpriority AS indicator_id, o_orderstatus AS indicator_label FROM coded
 WHERE o_orderkey % 11 <> 0 AND o_orderkey % 12 <> 0 AND o_orderkey % 13 <> 0""",
     "unreadable_years": f"""WITH {CODED} SELECT o_orderkey, '199x' AS date FROM coded
+WHERE o_orderkey % 12 = 0 AND o_orderkey % 11 <> 0""",
+    "clean_zone_quarantine": f"""WITH {CODED} SELECT o_orderkey, '199x' AS date FROM coded
 WHERE o_orderkey % 12 = 0 AND o_orderkey % 11 <> 0""",
     "outbreak_rows": f"""WITH {TITLES}
 SELECT t.o_orderkey, CASE WHEN t.o_orderkey % 5 <> 0 THEN 'id-' ELSE 'don-' END || t.o_orderkey AS outbreak_id,

@@ -12,6 +12,7 @@ from almanac.operators import file_quality as fq
 from almanac.operators import quality, retail, side_jobs
 from almanac.operators.shape import clean_numeric, ensure_date
 from almanac.plans import derived
+from almanac.plans.jobs import clean_documents
 from almanac.plans.views import places, retail_lines, table
 from almanac.session import staging_path
 from almanac.sinks import tables as sink
@@ -202,6 +203,24 @@ def unreadable_years(spark, sf_dir):
     return found.select("o_orderkey", F.get_json_object("record", "$.date").alias("date"))
 
 
+@query
+def clean_zone_quarantine(spark, sf_dir):
+    """World Bank records with a bad year, as kept by the job that cleans their documents."""
+    name = "wb_hospital_beds_per_1000"
+    key = F.col("o_orderkey").cast("string")
+    documents = derived.bank_documents(spark, sf_dir).select(
+        F.concat(F.lit(f"raw/{name}/"), key, F.lit(".json")).alias("raw_key"), sha256(F.col("body")).alias("hash"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("landed_at"), "body", F.lit(name).alias("dataset"),
+    )
+    base = staging_path(spark, "clean")
+    clean_documents(documents, places(spark, sf_dir), base)
+    kept = spark.read.parquet(f"{base}/_quarantine_records")
+    return kept.select(
+        F.regexp_extract("raw_key", r"(\d+)[.]json$", 1).cast("bigint").alias("o_orderkey"),
+        F.get_json_object("record", "$.date").alias("date"),
+    )
+
+
 @query
 def outbreak_rows(spark, sf_dir):
     rows = docs.parse_outbreaks(

@@ -190,6 +190,12 @@ _PRODUCT_COLUMNS = """StockCode, revenue, qty, CAST(tx_lines AS BIGINT) AS tx_li
   description, desc_short, avg_price, rev_share, qty_share, is_meta"""
 
 ORACLE = {
+    "word_cut_names": """WITH t AS (
+  SELECT p_partkey, p_name || ' ' || p_type || ' ' || p_brand || ' ' || p_name || ' ' || p_type || ' end' AS text FROM part)
+SELECT p_partkey, CASE WHEN length(text) <= 60 THEN text
+  ELSE regexp_replace(substr(text, 1, 58), ' [^ ]*$', '') || '...' END AS desc_short FROM t""",
+    "retail_job_daily": f"""WITH {DAILY}
+SELECT date, tx_all, transactions, round(operational_revenue, 2) AS operational_revenue, cancellations FROM daily""",
     "daily_kpis": f"WITH {DAILY} SELECT * FROM daily ORDER BY date",
     "daily_kpis_partition_labels": f"""WITH {DAILY}
 SELECT date, tx_all, strftime(date, '%Y') AS year_str, strftime(date, '%m') AS month_str FROM daily""",

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from almanac.operators import profiles, retail, rfm, shape
+from almanac.plans.jobs import retail_job
 from almanac.plans.views import raw_retail_lines, retail_lines, table
 from almanac.functions.dates import month_label, year_label
-from almanac.session import checkpointed
+from almanac.session import checkpointed, staging_path
+from almanac.sinks import tables as sink
+from almanac.sources.csv import read_csv
 
 QUERIES = {}
 
@@ -228,6 +231,33 @@ def word_cut_descriptions(spark, sf_dir):
     return docs.select("doc_id", retail.shorten_words(F.col("text")).alias("desc_short"))
 
 
+@query
+def word_cut_names(spark, sf_dir):
+    """Long product texts cut after a whole word."""
+    part = table(spark, sf_dir, "part")
+    text = F.concat_ws("  ", "p_name", "p_type", "p_brand", "p_name", "p_type", F.lit(" end "))
+    return part.select("p_partkey", retail.shorten_words(text).alias("desc_short"))
+
+
+@query
+def retail_job_daily(spark, sf_dir):
+    """The whole retail job over a CSV export of the lines, its daily table read back."""
+    export = raw_retail_lines(spark, sf_dir).select(
+        "InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice",
+        F.date_format("InvoiceDate", "MM/dd/yyyy HH:mm").alias("InvoiceDate"), F.col("CustomerID"),
+    )
+    raw = sink.write_csv(export, staging_path(spark, "export"))
+    written = retail_job(spark, raw, staging_path(spark, "retail"))
+    daily = read_csv(spark, written["daily_kpis"])
+    return daily.select(
+        F.to_timestamp_ntz("date").alias("date"),
+        F.col("tx_all").cast("bigint").alias("tx_all"),
+        F.col("transactions").cast("bigint").alias("transactions"),
+        F.round(F.col("operational_revenue").cast("double"), 2).alias("operational_revenue"),
+        F.col("cancellations").cast("bigint").alias("cancellations"),
+    )
+
+
 # ---- line checks -----------------------------------------------------------------------
 
 
