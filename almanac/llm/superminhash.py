@@ -34,7 +34,9 @@ BANDS = 32
 PERCENT = 80
 # Members of a bucket that are chained in one task.
 CHAIN = 20_000
-MOST_CHAINS = 6
+MOST_CHAINS = 3
+# Links whose union-find one task holds in memory, about 100 MB.
+TASK_LINKS = 400_000
 OUTPUTS = ("n_shingles", "component_id", "kept")
 
 _U = np.uint64
@@ -169,37 +171,41 @@ def _forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of links (a, b).
+    """(node, root) for the nodes of links (a, b) that are not their own root.
 
-    Union-find within tasks shrinks the links to a forest; then rounds merge every node into
-    the neighbour, or itself, that comes first in an order drawn anew per round. Each round
-    leaves a fraction of the nodes, so a long chain takes a logarithmic number of rounds.
+    Union-find within tasks of at most about `TASK_LINKS` links shrinks the links to forests. While there
+    is more than one task, a round merges every node into the neighbour, or itself, that comes
+    first in an order drawn anew per round; that leaves a fraction of the nodes, so a long chain takes a
+    logarithmic number of rounds. The forest of the last, single task completes the labels.
     """
-    left = stored(links.mapInPandas(_forest, "a binary, b binary"), "forest")
-    labels, round_ = None, 0
-    while not left.isEmpty():
+    left, labels, round_ = links, None, 0
+    while True:
         round_ += 1
+        tasks = max(1, -(-left.count() // TASK_LINKS))
+        left = stored(left.repartition(tasks).mapInPandas(_forest, "a binary, b binary"), "forest")
+        if tasks == 1:
+            return _relabelled(labels, left.select(F.col("a").alias("node"), F.col("b").alias("root")))
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         order = lambda c: F.struct(F.xxhash64(F.lit(round_), c).alias("h"), c.alias("id"))
         best = both.groupBy("a").agg(F.min(order(F.col("b"))).alias("n"))
-        merged = best.select(F.col("a").alias("node"), F.least(order(F.col("a")), F.col("n"))["id"].alias("into"))
-        merged = stored(merged, "merged")
-        if labels is None:
-            labels = merged.withColumnRenamed("into", "root")
-        else:
-            labels = stored(
-                labels.join(merged, labels["root"] == merged["node"], "left").select(
-                    labels["node"], F.coalesce("into", "root").alias("root")
-                ),
-                "labels",
-            )
-        ends = left.join(merged.select(F.col("node").alias("a"), F.col("into").alias("x")), "a")
-        ends = ends.join(merged.select(F.col("node").alias("b"), F.col("into").alias("y")), "b")
-        ends = ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        left = stored(ends.mapInPandas(_forest, "a binary, b binary"), "forest")
+        merged = stored(
+            best.select(F.col("a").alias("node"), F.least(order(F.col("a")), F.col("n"))["id"].alias("root")), "merged"
+        )
+        labels = _relabelled(labels, merged)
+        ends = left.join(merged.select(F.col("node").alias("a"), F.col("root").alias("x")), "a")
+        ends = ends.join(merged.select(F.col("node").alias("b"), F.col("root").alias("y")), "b")
+        ends = ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        left = stored(ends.distinct(), "ends")
+
+
+def _relabelled(labels: DataFrame | None, over: DataFrame) -> DataFrame:
+    """Labels (node, root) whose roots are given other roots by `over`."""
     if labels is None:
-        return links.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
-    return labels
+        return over
+    tops = over.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    old = labels.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    fresh = over.join(labels.select("node"), "node", "left_anti").select("node", "root")
+    return stored(old.unionByName(fresh), "labels")
 
 
 def _pairs_of(a: Column, b: Column) -> list[Column]:
@@ -221,23 +227,20 @@ def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = members.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
     given = docs.select(F.col("doc_id").alias("_id"), "text")
     texts = stored(given.join(wanted, given["_id"].eqNullSafe(wanted["rep"])).select("cls", "text"), "texts")
-    links, labels, tested = None, None, None
+    labels, tested, before = None, None, float("inf")
+    rest = members
     for chain in range(MOST_CHAINS):
-        rows = members
-        if labels is not None:
-            rows = _open(members, labels)
         # a very large bucket is chained in several parts, others in each round and band
         part = F.pmod(F.xxhash64(F.lit(chain), "key", "cls"), F.ceil(F.col("n") / CHAIN).cast("long"))
         along = Window.partitionBy("key", part).orderBy(F.xxhash64(F.lit(-chain), "key", "cls"), "cls")
         cols = ["cls"] if labels is None else ["cls", "root"]
-        chained = rows.select(*cols, *[F.lead(c).over(along).alias(f"next_{c}") for c in cols])
+        chained = rest.select(*cols, *[F.lead(c).over(along).alias(f"next_{c}") for c in cols])
         chained = chained.where("next_cls is not null" if labels is None else "next_root <> root")
         pairs = chained.select(*_pairs_of(F.col("cls"), F.col("next_cls"))).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = _more(links, _confirm(pairs, texts))
-        labels = components(links)
-        rest = _open(members, labels)
+        labels = _merged(labels, stored(_confirm(pairs, texts), "links"))
+        rest = stored(_open(members, labels), "open")
         sizes = rest.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
             F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares")
         )
@@ -246,10 +249,11 @@ def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
         ).first()
         if not got["rows"]:
             return labels
-        if got["pairs"] <= 8 * got["rows"]:
+        # few pairs are left, or those that are left are not linked: another chain would not help
+        if got["pairs"] <= got["rows"] or 2 * got["pairs"] > before:
             break
+        before = got["pairs"]
     # every pair of members in different components; the largest one meets only the others
-    rest = stored(_open(members, labels), "rest")
     largest = (
         rest.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
             F.max(F.struct("m", "root"))["root"].alias("most")
@@ -263,12 +267,17 @@ def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
     )
     pairs = met.select(*_pairs_of(F.col("x"), F.col("cls"))).distinct()
     pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    return components(_more(links, _confirm(pairs, texts)))
+    return _merged(labels, stored(_confirm(pairs, texts), "links"))
 
 
-def _more(links: DataFrame | None, found: DataFrame) -> DataFrame:
-    found = stored(found, "links")
-    return found if links is None else links.unionByName(found)
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (node, root) with the components that new links join."""
+    if labels is not None:
+        for end in ("a", "b"):
+            known = labels.select(F.col("node").alias(end), "root")
+            links = links.join(known, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+        links = stored(links.where("a <> b").distinct(), "links")
+    return _relabelled(labels, components(links))
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
