@@ -7,7 +7,7 @@ records through these identifiers and gives one nested row per capture.
 Archives are written by Spark's text writer, whose line separator is the blank line pair that
 ends a record, so files appear with the job's commit and a lost task leaves nothing behind.
 They are read whole, a file per row, so the writer keeps them small (`ARCHIVE_BYTES`
-on average); a record itself has to fit into one value, that is 2 GB. Payloads are
+of payload on average, compressed); a record itself has to fit into one value, that is 2 GB. Payloads are
 hashed and measured where they are read and are not shuffled.
 """
 
@@ -57,8 +57,8 @@ def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """Pages with digest, size and the capture that holds their payload.
 
     Of pages with equal payloads of at least `least` bytes the one with the largest page_id is the response,
-    the others revisit it. The group is found by a combined maximum per digest; the pages of a large group
-    then meet one row in a join that the runtime may split.
+    the others revisit it. The group is found by a combined maximum per digest; the
+    pages of a large group then meet one row in a join of narrow rows that the runtime may split.
     """
     text = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
@@ -67,12 +67,11 @@ def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         F.monotonically_increasing_id().alias("uid"),
     )
     rows = stored(rows, "captures")  # fixes the row numbers
-    held = rows.where(F.col("size") >= least).groupBy("digest").agg(
-        F.max(F.struct("page_id", "uid"))["uid"].alias("held_by"), F.count(F.lit(1)).alias("n")
-    )
-    held = held.where("n > 1").drop("n")
-    big = F.when(F.col("size") >= least, F.col("digest"))
-    return rows.withColumn("_key", big).join(held.withColumnRenamed("digest", "_key"), "_key", "left").drop("_key")
+    big = rows.where(F.col("size") >= least).select("digest", "page_id", "uid")
+    held = big.groupBy("digest").agg(F.max(F.struct("page_id", "uid"))["uid"].alias("held_by"))
+    # only the revisits are named, so the payloads meet a narrow table by their row number
+    revisits = big.join(held, "digest").where("uid <> held_by").select("uid", "held_by")
+    return rows.join(stored(revisits, "revisits"), "uid", "left")
 
 
 def write_warc(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
@@ -82,7 +81,7 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
     captures of their own; an empty table gives no archive.
     """
     rows = captures(pages, least)
-    revisit = F.col("held_by").isNotNull() & (F.col("held_by") != F.col("uid"))
+    revisit = F.col("held_by").isNotNull()
     uri = F.col("url")
     for sign, code in ((" ", "%20"), ("\r", "%0D"), ("\n", "%0A")):  # a header is one line
         uri = F.replace(uri, F.lit(sign), F.lit(code))
@@ -115,12 +114,10 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
         F.lit("metadata"), _uid("metadata", F.col("uid")),
         [*shared, *tied, ("Content-Type", F.lit("application/warc-fields"))], page,
     )
-    total = pages.agg(F.sum(F.octet_length("html")).alias("n")).first()["n"] or 0
-    files = max(1, -(-total // ARCHIVE_BYTES))
-    lines = rows.repartition(files, F.xxhash64("uid")).select(
-        F.explode(F.array(request, answer, metadata)).alias("value")
-    )
-    lines.write.option("lineSep", END).text(path)
+    sizes = pages.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("html")).alias("bytes")).first()
+    most = max(3, 3 * int(ARCHIVE_BYTES * sizes["n"] / max(1, sizes["bytes"] or 0)))
+    lines = rows.select(F.explode(F.array(request, answer, metadata)).alias("value"))
+    lines.write.options(lineSep=END, compression="gzip", maxRecordsPerFile=str(most)).text(path)
 
 
 def parse(data: bytes) -> Iterator[dict]:
