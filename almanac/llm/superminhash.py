@@ -10,9 +10,10 @@ rounds instead of 128.
 Documents with equal shingle sets are one class. Classes that agree in one of 32 bands of four values
 share a bucket; a pair with similarity 0.8 is missed with a probability of
 (1 - 0.8 ** 4) ** 32 = 5e-8. In a bucket, members are compared in a chain first, links
-confirmed on the full sets join components, and then only members of different components are
-compared with each other. So a bucket with thousands of near copies costs about a chain of comparisons, and
-none of its links between components is lost.
+confirmed on the full sets join components, and then the members outside a bucket's largest
+component are compared with all its other components, exactly, in blocks of bounded size. Only links
+leave these tasks, so a bucket with thousands of near copies makes no list of pairs, and none of
+its links between components is lost.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ BANDS = 32
 PERCENT = 80
 # Members of a bucket that are chained in one task.
 CHAIN = 20_000
-MOST_CHAINS = 3
+MOST_CHAINS = 2
+# Characters of the texts on either side that one task compares with each other.
+BLOCK_CHARS = 4_000_000
 # Links whose union-find one task holds in memory, about 100 MB.
 TASK_LINKS = 400_000
 OUTPUTS = ("n_shingles", "component_id", "kept")
@@ -253,21 +256,81 @@ def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
         if got["pairs"] <= got["rows"] or 2 * got["pairs"] > before:
             break
         before = got["pairs"]
-    # every pair of members in different components; the largest one meets only the others
-    largest = (
-        rest.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
-            F.max(F.struct("m", "root"))["root"].alias("most")
-        )
-    )
-    others = rest.join(largest, "key").where("root <> most").select(
-        "key", F.col("cls").alias("x"), F.col("root").alias("x_root"), "most"
+    return _merged(labels, stored(_compared(rest, texts), "links"))
+
+
+def _across(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of one block: links between its queries and members of other components, by exact counts.
+
+    The members' shingles are an index in memory; a query counts the hits per member.
+    """
+    members, queries = frame[~frame["query"]], frame[frame["query"]]
+    out: list[tuple[bytes, bytes]] = []
+
+    def sets(rows: pd.DataFrame) -> Iterator[tuple[bytes, bytes, np.ndarray]]:
+        for at, texts in groups(pa.array(rows["text"], pa.string())):
+            part = rows.iloc[at : at + len(texts)]
+            for key, root, found in zip(part["cls"], part["root"], shingle_sets(texts)):
+                # a repeated id may bring another text
+                if len(found) and class_key(found) == key:
+                    yield key, root, found
+
+    keys, roots, found = [], [], []
+    for key, root, shingles in sets(members):
+        keys.append(key)
+        roots.append(root)
+        found.append(shingles)
+    if keys and len(queries):
+        sizes = np.array([len(x) for x in found])
+        every, owner = np.concatenate(found), np.repeat(np.arange(len(found)), sizes)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
+        for key, root, shingles in sets(queries):
+            first, last = np.searchsorted(every, shingles), np.searchsorted(every, shingles, side="right")
+            lengths = last - first
+            total = int(lengths.sum())
+            if not total:
+                continue
+            places = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(total)
+            common = np.bincount(owner[places], minlength=len(keys))
+            near = 100 * common >= PERCENT * (len(shingles) + sizes - common)
+            linked: set[bytes] = set()  # one link to each other component is enough
+            for i in np.flatnonzero(near):
+                if roots[i] != root and roots[i] not in linked:
+                    linked.add(roots[i])
+                    out.append((min(key, keys[i]), max(key, keys[i])))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _compared(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of one bucket that are in different components, all of them tested.
+
+    The members outside a bucket's largest component are its queries. A large bucket is cut
+    into blocks of members and of queries, and each block of either kind meets each of the other,
+    so no task holds more than two blocks. Only links leave a task.
+    """
+    known = texts.groupBy("cls").agg(F.max(F.length("text")).alias("chars"))
+    entries = rest.select("key", "cls", "root").join(known, "cls")
+    parts = entries.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("chars").alias("chars"))
+    blocks = parts.groupBy("key").agg(
+        F.max(F.struct("m", "root", "chars")).alias("top"), F.sum("chars").alias("chars")
+    ).select(
+        "key", F.col("top.root").alias("most"),
+        F.ceil(F.col("chars") / BLOCK_CHARS).cast("int").alias("member_blocks"),
+        F.ceil((F.col("chars") - F.col("top.chars")) / BLOCK_CHARS).cast("int").alias("query_blocks"),
+    )
+    rows = entries.drop("chars").join(blocks, "key")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1))
+    dealt = lambda n, k: F.pmod(F.xxhash64("cls", F.lit(k)), F.greatest(F.col(n), F.lit(1))).cast("int")
+    own = ["key", "cls", "root"]
+    members = rows.select(
+        *own, F.lit(False).alias("query"), dealt("member_blocks", 1).alias("mb"), each("query_blocks").alias("qb")
     )
-    met = others.join(rest.select("key", "cls", "root"), "key").where(
-        "x_root <> root and (root = most or x < cls)"
+    queries = rows.where("root <> most").select(
+        *own, F.lit(True).alias("query"), each("member_blocks").alias("mb"), dealt("query_blocks", 2).alias("qb")
     )
-    pairs = met.select(*_pairs_of(F.col("x"), F.col("cls"))).distinct()
-    pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    return _merged(labels, stored(_confirm(pairs, texts), "links"))
+    every = members.unionByName(queries).join(texts, "cls")
+    return every.groupBy("key", "mb", "qb").applyInPandas(_across, "a binary, b binary").distinct()
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
