@@ -108,6 +108,41 @@ def test_groups_of_near_copies_against_brute_force(spark):
     assert got == brute_components(texts)
 
 
+def test_blocks_find_every_link_across_components():
+    import pandas as pd
+    import pyarrow as pa
+
+    from almanac.llm.shingles import shingle_sets
+
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(999)}"
+        texts.append(" ".join(words))
+    texts = sorted({*texts, "short", ""})
+    keys = [superminhash.class_key(x) if len(x) else b"none" for x in shingle_sets(pa.array(texts))]
+    roots = [keys[0] if i % 3 else k for i, k in enumerate(keys)]
+    rows = [(k, r, t, False) for k, r, t in zip(keys, roots, texts)]
+    rows += [(k, r, t, True) for k, r, t in zip(keys, roots, texts) if r != keys[0]]
+    got = superminhash._across(pd.DataFrame(rows, columns=["cls", "root", "text", "query"]))
+    sets = {k: shingles(t) for k, t in zip(keys, texts)}
+    linked = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    want = set()
+    for k, r in zip(keys, roots):
+        for k2, r2 in zip(keys, roots):
+            if r != keys[0] and r2 != r and linked(sets[k], sets[k2]):
+                want.add((k, r2))
+    root_of = dict(zip(keys, roots))
+    reached = set()
+    for a, b in zip(got["a"], got["b"]):
+        assert root_of[a] != root_of[b] and linked(sets[a], sets[b])
+        reached |= {(a, root_of[b]), (b, root_of[a])}
+    assert want <= reached
+
+
 def test_components_of_a_long_chain(spark):
     key = lambda i: i.to_bytes(16, "big")
     links = spark.createDataFrame([(bytearray(key(i)), bytearray(key(i + 1))) for i in range(300) if i != 150], "a binary, b binary")
