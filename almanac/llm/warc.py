@@ -210,6 +210,7 @@ def assemble(records: DataFrame) -> DataFrame:
     records of one capture are one row by its definition.
     """
     given = records.where("record_id is not null and error is null").dropDuplicates(["record_id"])
+    given = stored(given, "records")  # the archives are read once
     is_main = F.col("record_type").isin(*MAIN_TYPES)
     links = given.select("record_id", is_main.alias("is_main"), F.explode("concurrent_to").alias("other"))
     mains = given.where(is_main).select(F.col("record_id").alias("main_id"))
