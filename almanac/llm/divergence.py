@@ -105,21 +105,21 @@ def class_counts(text: Column) -> Column:
 def references(docs: DataFrame, common: float = COMMON) -> dict[str, dict]:
     """Per language: shares of the character classes, and of its common words.
 
-    Null languages teach nothing. What comes to the driver is bounded: six sums and at most
-    1 / `common` words per language.
+    Null languages teach nothing. What comes to the driver is bounded: seven sums and at most
+    1 / `common` words per language. Shares are of all words of the language, also those seen once.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     given = docs.where(F.col("lang").isNotNull()).select("lang", text.alias("text"))
-    counted = given.select("lang", class_counts(F.col("text")).alias("counts"))
+    counted = given.select(
+        "lang", class_counts(F.col("text")).alias("counts"), F.size(words(F.col("text"))).alias("n_words")
+    )
     sums = [F.sum(F.get("counts", F.lit(i))).alias(k) for i, k in enumerate(CLASSES)]
-    classes = counted.groupBy("lang").agg(*sums).collect()
+    per_language = stored(counted.groupBy("lang").agg(*sums, F.sum("n_words").alias("total")), "language-sums")
+    classes = per_language.collect()
     split = given.select("lang", F.explode(F.split(F.lower("text"), SPACE)).alias("word"))
-    counted = stored(
-        split.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
-        "word-counts",
-    )
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = counted.join(F.broadcast(totals), "lang").where(F.col("n") >= common * F.col("total"))
+    each = split.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    totals = per_language.select("lang", "total")
+    frequent = each.join(F.broadcast(totals), "lang").where(F.col("n") >= common * F.col("total"))
     out: dict[str, dict] = {}
     for row in classes:
         total = sum(row[k] for k in CLASSES) or 1

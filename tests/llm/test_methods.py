@@ -257,6 +257,17 @@ def test_distances_against_plain_python(spark):
     assert row["w"] == pytest.approx(js([3 / 6, 1 / 6, 0, 2 / 6], [0.2, 0.1, 0.1, 0.6]))
 
 
+def test_shares_are_of_all_words(spark):
+    rare = " ".join(f"wort{i}" for i in range(60))
+    text = "the cat " * 3 + " ".join(f"once{i}" for i in range(94))
+    df = spark.createDataFrame([(1, text, "en"), (2, rare, "xx"), (3, " \n", "yy")], "doc_id bigint, text string, lang string")
+    refs = divergence.references(df, common=0.02)
+    assert refs["en"]["words"] == {"the": 0.03, "cat": 0.03} and refs["yy"]["words"] == {}
+    # words seen once are common where a language has few of them
+    assert divergence.references(df, common=0.004)["xx"]["words"] == pytest.approx({f"wort{i}": 1 / 60 for i in range(60)})
+    assert [r["kept"] for r in divergence.judge(df).where("doc_id = 2").collect()] == [True]
+
+
 @tables
 def test_labelled_good_texts_are_kept(spark):
     judged = divergence.op6_distribution_divergence(spark, SF_DIR).where("not base_failed")
