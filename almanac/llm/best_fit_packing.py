@@ -15,6 +15,7 @@ its rank among the pieces of its length. Ranks are a count per task plus an offs
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -47,10 +48,12 @@ class Encoder:
     The vocabulary comes from the `tokenizers` file; its ids are in merge order, which is
     checked, so `tiktoken` gives the same ids, some five times faster. Text between single
     blanks or line feeds is encoded word by word, as tokens never reach over such a place;
-    texts with longer white space, or with zero characters, are encoded whole.
+    texts with longer white space, or with zero characters, are encoded whole. With `added` the
+    file's added tokens get their ids and the text is split there, as `tokenizers` does; without,
+    the names of special ones are ordinary text.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED, added: bool = False):
         import json
 
         import public_tokenizers
@@ -58,7 +61,14 @@ class Encoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            given = json.load(file)
+        model = given["model"]
+        split = [t for t in given.get("added_tokens") or [] if added or not t["special"]]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in split):
+            raise ValueError("added tokens that depend on the text beside them are not known")
+        self._added = {t["content"]: np.asarray([t["id"]], "<u4").tobytes() for t in split}
+        longest_first = sorted(self._added, key=lambda name: (-len(name), name))
+        self._at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if split else None
         # the printable characters that stand for the 256 bytes in such files
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in set(plain)]
@@ -82,6 +92,13 @@ class Encoder:
         return np.asarray(self._encode(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if self._at_added is None or not self._at_added.search(text):
+            return self._plain(text)
+        # every second part is an added token
+        parts = self._at_added.split(text)
+        return b"".join(self._added[x] if i % 2 else self._plain(x) for i, x in enumerate(parts) if x)
+
+    def _plain(self, text: str) -> bytes:
         if self._wide(text):
             return self._bytes(text)
         known, out = self._known, []
@@ -96,9 +113,9 @@ class Encoder:
         return b"".join(out)
 
 
-def _tokenize(path: str, capacity: int, end_id: int, with_ids: bool):
+def _tokenize(path: str, capacity: int, end_id: int, with_ids: bool, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = Encoder(path, added=added)
         end = np.asarray([end_id], "<u4").tobytes()
         task = TaskContext.get().partitionId()
         ranks: dict[int, int] = {}
@@ -147,14 +164,15 @@ def _tokenize(path: str, capacity: int, end_id: int, with_ids: bool):
 
 
 def token_pieces(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True,
+    added: bool = False,
 ) -> DataFrame:
     """The pieces of each document, beside its columns other than text."""
     own = without(docs, "text", "_pack_text", "_task", "_rank", *OUTPUTS)
     given = docs.select(*own.columns, F.col("text").alias("_pack_text"))
     kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own.schema.fields)
     schema = f"{kept}, {_PIECES}" if kept else _PIECES
-    return given.mapInArrow(_tokenize(path, capacity, end_id, with_ids), schema)
+    return given.mapInArrow(_tokenize(path, capacity, end_id, with_ids, added), schema)
 
 
 def packing_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -254,21 +272,23 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True
+    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True,
+    added: bool = False,
 ) -> DataFrame:
     """One row per piece: the document's columns but text, then the outputs.
 
     A null or empty text is the end id alone. Repeated rows and null ids are packed each by
     itself; an empty table gives an empty table. A very long text is a piece per `capacity`
-    ids. Columns with the names of the outputs are replaced.
+    ids. Columns with the names of the outputs are replaced. With `added`, names of the file's
+    added tokens in a text are those tokens.
     """
-    pieces = token_pieces(docs, path or vocabulary_path(), capacity, end_id, with_ids)
+    pieces = token_pieces(docs, path or vocabulary_path(), capacity, end_id, with_ids, added)
     return pack(stored(pieces, "pieces"), capacity)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    packed = pack_documents(docs, with_ids=False)
+    packed = pack_documents(docs, with_ids=False, added=True)
     return packed.select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
     )

@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document copy: doc_id, lang, source, and its place in a sequence."""
-    packed = pack_documents(docs.drop("n_chars"), with_ids=False)
+    packed = pack_documents(docs.drop("n_chars"), with_ids=False, added=True)
     return packed.drop("ids")
 
 

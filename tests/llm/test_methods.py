@@ -201,6 +201,24 @@ def test_packed_ids_match_the_tokenizer(spark):
         assert b[1] == (a[1] + a[2] if a[0] == b[0] else 0)
 
 
+def test_added_tokens_get_their_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(best_fit_packing.vocabulary_path())
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", f"{end}{end}\n", f"x  {end}  y\x00", f" it's{end}", "<|endo", "<|ENDOFTEXT|>", f"{end} " * 1100, ""]
+    (tmp_path / "sf").mkdir()
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows.write.parquet(f"{tmp_path}/sf/documents.parquet")
+    got = {}
+    for r in best_fit_packing.op8_best_fit_packing(spark, f"{tmp_path}/sf").collect():
+        got.setdefault(r["doc_id"], {})[r["start"]] = (r["length"], r["ids_crc32"])
+    for i, text in enumerate(texts):
+        ids = np.array([*own.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert sum(n for n, _ in got[i].values()) == len(ids)
+        assert all(crc == zlib.crc32(ids[start : start + n].tobytes()) for start, (n, crc) in got[i].items())
+
+
 # fingerprints
 
 
