@@ -8,8 +8,8 @@ Tokens of plain letters have one path and are taken as they are.
 
 Scores: every restored word, and its first four and five letters, carries the share of
 toxic documents among the labelled ones that hold it; a document's score joins the shares of
-its words as independent evidence. Near copies count once on the toxic side, so the words of a copied
-text do not turn into evidence.
+its words as independent evidence. Near copies (the components of `superminhash`) count once on
+either side, so the words of a copied text do not turn into evidence.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import crc32_mod, quoted, stored, table, without
+from almanac.llm.superminhash import near_duplicates
 
 # Labelled documents per class from which the shares are learned.
 SAMPLE = {1: 6_000, 0: 12_000}
@@ -183,24 +183,16 @@ def features(word: str) -> tuple[str, ...]:
 
 
 def _evidence(model: np.ndarray, wanted: set[str] | None = None) -> Callable:
-    """Per task: feature, number of clean documents with it, sketches of the toxic ones."""
+    """Per task: the features of the texts, those wanted if given, each with the components that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Restorer(model)
-        rows: list[tuple[str, int]] = []
-        clean: dict[str, int] = {}
+        found: set[tuple[str, int]] = set()
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = reader.words(text or "")
-                own = {f for word in words for f in features(word)}
-                if wanted is not None:
-                    for f in own & wanted:
-                        clean[f] = clean.get(f, 0) + 1
-                elif toxic:
-                    sketch = min((xxhash.xxh64_intdigest(w) >> 1 for w in words), default=0)
-                    rows.extend((f, sketch) for f in own)
-        if wanted is not None:
-            rows = list(clean.items())
+            for text, component in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = {f for word in reader.words(text or "") for f in features(word)}
+                found.update((f, component) for f in (own if wanted is None else own & wanted))
+        rows = list(found)
         for i in range(0, len(rows), 50_000):
             part = rows[i : i + 50_000]
             yield pa.RecordBatch.from_arrays(
@@ -231,16 +223,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -
     Without labels, or without toxic ones, no feature tells and every score is 0.
     """
     model = language_model(docs)
-    rows = stored(_sample(docs, labels, sample), "sample")
-    schema = "feature string, value bigint"
-    toxic = rows.where("toxic = 1").mapInArrow(_evidence(model), schema)
-    seen = (
-        toxic.groupBy("feature").agg(F.count_distinct("value").alias("t")).where(F.col("t") >= LEAST_DOCS).toPandas()
+    numbered = _sample(docs, labels, sample).withColumn("number", F.monotonically_increasing_id())
+    rows = stored(numbered, "sample")  # fixes the row numbers
+    groups = near_duplicates(rows.select(F.col("number").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("number"), "component_id"
     )
-    shares = dict(zip(seen["feature"], seen["t"].astype(float)))
-    clean = rows.where("toxic = 0").mapInArrow(_evidence(model, set(shares)), schema)
-    counts = clean.groupBy("feature").agg(F.sum("value").alias("c")).toPandas()
-    against = dict(zip(counts["feature"], counts["c"].astype(float)))
+    rows = stored(rows.join(groups, "number").select("text", "component_id", "toxic"), "sample-groups")
+    schema = "feature string, value bigint"
+
+    def evidence(label: int, wanted: set[str] | None = None) -> DataFrame:
+        texts = rows.where(F.col("toxic") == label).select("text", "component_id")
+        found = texts.mapInArrow(_evidence(model, wanted), schema)
+        return found.groupBy("feature").agg(F.count_distinct("value").alias("n"))
+
+    seen = evidence(1).where(F.col("n") >= LEAST_DOCS).toPandas()
+    shares = dict(zip(seen["feature"], seen["n"].astype(float)))
+    counts = evidence(0, set(shares)).toPandas()
+    against = dict(zip(counts["feature"], counts["n"].astype(float)))
     for feature, t in shares.items():
         shares[feature] = t / (t + against.get(feature, 0.0) + CAUTION)
     least = lambda f: LEAST_SHARE_OF_FOUR if len(f) == 5 and f[4] == "-" else LEAST_SHARE

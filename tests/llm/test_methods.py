@@ -411,6 +411,22 @@ def test_held_out_toxicity(spark):
     assert right / len(rows) > 0.9 and sum(r["toxic"] and r["predicted"] for r in rows) >= 0.6 * sum(r["toxic"] for r in rows)
 
 
+def test_evidence_counts_different_texts(spark):
+    rng = random.Random(6)
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % toxicity.HELD_OUT][:210]
+    other = lambda n: " ".join(rng.choice("bcdfg") + "".join(rng.choices("aeioulmnrt", k=7)) for _ in range(n))
+    common, copied = "the of and in to is it was for on", other(60)
+    texts = [f"{common} {other(12)} worthless" for _ in range(90)]  # different toxic texts
+    texts += [f"{common} {copied} {other(1)} zebra" for _ in range(30)]  # near copies of one toxic text
+    texts += [f"{common} {other(12)} worthless" for _ in range(40)]  # different clean texts
+    texts += [f"{common} {copied} {other(1)} worthless yacht" for _ in range(50)]  # near copies of one clean text
+    df = spark.createDataFrame(list(zip(learned, texts)), "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, int(n < 120)) for n, i in enumerate(learned)], "doc_id bigint, toxic int")
+    shares = toxicity.train(df, marks)[1]
+    assert shares["worthless"] == pytest.approx(90 / (90 + 41 + toxicity.CAUTION))
+    assert "zebra" not in shares and "yacht" not in shares
+
+
 # archives
 
 
