@@ -49,8 +49,14 @@ _TABLE = np.array(
     [_CODE.get(chr(c).lower(), _K - 1 if chr(c).isalpha() else 0) for c in range(0x250)] + [_K - 1], np.int64
 )
 _RUN = re.compile(r"(.)\1\1")
-_SPACED = re.compile(r"(?<!\S)\w(?:\s\w){3,}(?!\S)")
-_ENDS = re.compile(r"^[\W_]+|[\W_]+$")
+_SIGNS = "".join(c for c in LOOKALIKES if not c.isdigit())
+_ONE = rf"[\w{re.escape(_SIGNS)}]"
+_SPACED = re.compile(rf"(?<!\S){_ONE}(?:\s{_ONE}){{2,}}(?!\S)")
+# Signs at the ends that stand for no letter.
+_END = rf"(?:(?![{re.escape(_SIGNS)}])[\W_])+"
+_ENDS = re.compile(rf"^{_END}|{_END}$")
+# Cost of taking a token without letters as a number or as signs: for the token and for each character.
+_LITERAL, _LITERAL_DIGIT, _LITERAL_SIGN, _LITERAL_MONEY = 2.0, 2.5, 2.0, 5.0
 
 
 def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,6 +97,8 @@ def language_model(docs: DataFrame) -> np.ndarray:
 def options(token: str) -> list[list[tuple[str, float]]]:
     """What each character may stand for, with the channel's cost; an empty string deletes it."""
     out: list[list[tuple[str, float]]] = []
+    ends = {c: len(token.rstrip(c)) for c in "!|"}
+    begin = len(token) - len(token.lstrip("("))
     for i, c in enumerate(token):
         run = 1
         while i + run < len(token) and token[i + run] == c and run < 3:
@@ -103,7 +111,12 @@ def options(token: str) -> list[list[tuple[str, float]]]:
             out.append([(c, 1.0), ("", 0.2)] if repeated and back > 1 else [(c, 0.0)])
         elif c in LOOKALIKES:
             drop = 8.0 if c.isdigit() else 3.0
+            # exclamation marks and bars end words, and brackets begin them
+            if 0 < ends.get(c, 0) <= i or (c == "(" and i < begin):
+                drop = 0.5
             out.append([*((x, 0.7) for x in LOOKALIKES[c]), ("", drop), (" ", drop)])
+        elif c.isspace():
+            out.append([("", 0.3), (" ", 1.0)])
         else:
             # letters set apart one by one are rather one word
             alone = (i < 2 or not token[i - 2].isalnum()) and (i + 2 >= len(token) or not token[i + 2].isalnum())
@@ -113,6 +126,16 @@ def options(token: str) -> list[list[tuple[str, float]]]:
 
 def restore(token: str, model: np.ndarray) -> str:
     """The likeliest reading of a token: Viterbi over pairs of letters."""
+    return _best(token, model)[1]
+
+
+def _literal(token: str) -> float:
+    """The cost of a token without letters that means no word."""
+    each = lambda c: _LITERAL_DIGIT if c.isdigit() else _LITERAL_MONEY if c in "@$€£" else _LITERAL_SIGN
+    return _LITERAL + sum(0.3 if c.isspace() else each(c) for c in token)
+
+
+def _best(token: str, model: np.ndarray) -> tuple[float, str]:
     # state: the last two letters -> (cost, letters so far as a chain)
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for choices in options(token):
@@ -131,12 +154,14 @@ def restore(token: str, model: np.ndarray) -> str:
                 if state not in after or total < after[state][0]:
                     after[state] = (total, grown)
         states = after
-    chain = min(((cost + float(model[a, b, 0]), n, chain) for n, ((a, b), (cost, chain)) in enumerate(states.items())))[2]
+    least, _, chain = min(
+        (cost + float(model[a, b, 0]), n, chain) for n, ((a, b), (cost, chain)) in enumerate(states.items())
+    )
     letters = []
     while chain:
         letters.append(chain[0])
         chain = chain[1]
-    return "".join(reversed(letters))
+    return least, "".join(reversed(letters))
 
 
 class Restorer:
@@ -149,20 +174,20 @@ class Restorer:
     def _read(self, token: str) -> tuple[str, ...]:
         core = _ENDS.sub("", token)
         if core.isalpha() and not _RUN.search(core):
-            # a single sign before or after the letters may be one of them
-            ends = token.strip(".,;:!?\"'()-")
-            if ends == core or not 0 < len(ends) - len(core) <= 2 or not set(ends) & {"@", "$"}:
-                return (core,)
-            core = ends
-        if not any(c.isalpha() for c in core):
+            return (core,)
+        lettered = any(c.isalpha() for c in core)
+        if not lettered and not any(c in LOOKALIKES for c in core):
+            return ()
+        cost, read = _best(core, self._model)
+        if not lettered and cost >= _literal(core):
             return ()
-        return tuple(w for w in restore(core, self._model).split(" ") if w)
+        return tuple(w for w in read.split(" ") if w)
 
     def tokens(self, text: str) -> set[str]:
         low = text.lower()
         found = set(low.split())
         for match in _SPACED.finditer(low):
-            found.add("".join(match[0].split()))
+            found.add(" ".join(match[0].split()))
         return found
 
     def read(self, token: str) -> tuple[str, ...]:

@@ -375,6 +375,19 @@ def test_restored_words(spark):
         assert meant in reader.words(f"the {written} is"), written
 
 
+def test_signs_at_the_ends_and_spaced_words_are_restored(spark):
+    plain = "you stupid idiot are such a dumb ass and talk shit all day but we see the wow of it so you idiot go "
+    reader = toxicity.Restorer(toxicity.language_model(spark.createDataFrame([(plain * 300,)], "text string")))
+    for written, meant in (
+        ("$tup1d", "stupid"), ("!d10t", "idiot"), ("!diot", "idiot"), ("|diot", "idiot"), ("@$$", "ass"), ("455", "ass"),
+        ("s h ! t", "shit"), ("a s s", "ass"), ("y o u i d i o t", "idiot"), ("y o u i d i o t", "you"), ("sh!+", "shit"),
+        ("idiot!", "idiot"), ("wow!!", "wow"), ("(idiot)", "idiot"), ("|stupid|", "stupid"),
+    ):
+        assert meant in reader.words(f"xx {written} yy"), (written, reader.words(f"xx {written} yy"))
+    for number in ("2024", "1,500.00", "12:30", "777", "!!!", "--", "| | |"):
+        assert reader.read(number) == (), (number, reader.read(number))
+
+
 def test_viterbi_is_the_best_of_all_readings():
     rng = np.random.default_rng(8)
     model = rng.uniform(0.5, 5, (toxicity._K,) * 3).astype(np.float32)
