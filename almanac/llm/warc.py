@@ -7,8 +7,8 @@ records through these identifiers and gives one nested row per capture.
 Archives are written by Spark's text writer, whose line separator is the blank line pair that
 ends a record, so files appear with the job's commit and a lost task leaves nothing behind.
 They are read whole, a file per row, so the writer keeps them small (`ARCHIVE_BYTES`
-of payload on average, compressed); a record itself has to fit into one value, that is 2 GB. Payloads are
-hashed and measured where they are read and are not shuffled.
+of payload on average, compressed); a record itself has to fit into one value, that is 2 GB. Records keep
+their headers, HTTP head and payload, also inside the assembled captures.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import stored, table
+from almanac.llm.superminhash import components
 from almanac.session import staging_path
 
 ARCHIVE_BYTES = 16 << 20
@@ -35,7 +36,8 @@ _HEAD = re.compile(rb"\s*WARC/\d+\.\d+\r?\n")
 RECORD = (
     "file string, place bigint, record_type string, record_id string, concurrent_to array<string>, "
     "target_uri string, date string, refers_to string, payload_digest string, block_bytes bigint, "
-    "http_status string, payload_bytes bigint, payload_sha1 string, fields map<string,string>, error string"
+    "http_status string, payload_bytes bigint, payload_sha1 string, fields map<string,string>, error string, "
+    "headers array<struct<name:string,value:string>>, http_head binary, payload binary"
 )
 
 
@@ -152,9 +154,10 @@ def parse(data: bytes) -> Iterator[dict]:
 def _row(file: str, record: dict) -> dict:
     headers = dict(record["headers"])
     block, kind = record["block"], headers.get("warc-type")
-    status, payload, fields = None, block, {}
+    status, http_head, payload, fields = None, None, block, {}
     if headers.get("content-type", "").startswith("application/http"):
-        head, _, payload = block.partition(b"\r\n\r\n")
+        head, gap, payload = block.partition(b"\r\n\r\n")
+        http_head = head + gap
         status = head.split(b"\r\n")[0].decode("utf-8", "replace")
     elif headers.get("content-type", "").startswith("application/warc-fields"):
         for line in block.decode("utf-8", "replace").splitlines():
@@ -168,6 +171,7 @@ def _row(file: str, record: dict) -> dict:
         "refers_to": headers.get("warc-refers-to"), "payload_digest": headers.get("warc-payload-digest"),
         "block_bytes": len(block), "http_status": status, "payload_bytes": len(payload),
         "payload_sha1": hashlib.sha1(payload).hexdigest(), "fields": list(fields.items()), "error": record["error"],
+        "headers": [{"name": k, "value": v} for k, v in record["headers"]], "http_head": http_head, "payload": payload,
     }
 
 
@@ -178,6 +182,8 @@ _ARROW = pa.schema(
         ("refers_to", pa.string()), ("payload_digest", pa.string()), ("block_bytes", pa.int64()),
         ("http_status", pa.string()), ("payload_bytes", pa.int64()), ("payload_sha1", pa.string()),
         ("fields", pa.map_(pa.string(), pa.string())), ("error", pa.string()),
+        ("headers", pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))),
+        ("http_head", pa.binary()), ("payload", pa.binary()),
     ]
 )
 
@@ -185,17 +191,18 @@ _ARROW = pa.schema(
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            rows = []
+            rows, size = [], 0
             for record in parse(batch.column(1)[i].as_py() or b""):
                 rows.append(_row(batch.column(0)[i].as_py(), record))
-                if len(rows) == 2000:
+                size += len(record["block"])
+                if len(rows) == 2000 or size > ARCHIVE_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-                    rows = []
+                    rows, size = [], 0
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under a path, without the payloads themselves."""
+    """One row per record of the archives under a path; http_head and payload together are its block."""
     # an archive per batch keeps one file in memory at a time
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(_records, RECORD)
@@ -204,29 +211,46 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: record_id, main, requests, metadata, others.
 
-    A record belongs to the response, revisit or resource that it names as concurrent, that names
-    it, or that another record it names belongs to. Records that reach none are a capture
-    with an empty main. Repeated records count once; records without an id are left out. The
-    records of one capture are one row by its definition.
+    Records are linked when one names the other as concurrent, whichever it is. A record belongs to
+    the response, revisit or resource that is the fewest links away, of several the one with the
+    smallest id. Linked records that reach none, also those linked through an id that is not there,
+    are one capture with an empty main and the smallest of their ids. Repeated records count once;
+    records without an id are left out. The records of one capture are one row by its definition.
     """
-    given = records.where("record_id is not null and error is null").dropDuplicates(["record_id"])
-    given = stored(given, "records")  # the archives are read once
+    rows = records.where("record_id is not null and error is null")
+    # the archives are read once, and the row numbers are fixed
+    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "records")
+    # only repeated rows are named, so the payloads meet a narrow table by their row number
+    first = rows.groupBy("record_id").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = rows.select("record_id", "_row").join(first, "record_id").where("_row <> _first").select("_row")
+    given = rows.join(stored(again, "repeated"), "_row", "left_anti").drop("_row")
     is_main = F.col("record_type").isin(*MAIN_TYPES)
-    links = given.select("record_id", is_main.alias("is_main"), F.explode("concurrent_to").alias("other"))
-    mains = given.where(is_main).select(F.col("record_id").alias("main_id"))
-    direct = links.where("not is_main").join(mains, F.col("other") == F.col("main_id")).select("record_id", "main_id")
-    named = links.where("is_main").select(F.col("other").alias("record_id"), F.col("record_id").alias("main_id"))
-    one = direct.unionByName(named).groupBy("record_id").agg(F.min("main_id").alias("main_id"))
-    through = links.where("not is_main").select("record_id", "other").join(
-        one.select(F.col("record_id").alias("other"), "main_id"), "other"
+    named = given.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b")).where("b is not null")
+    links = stored(named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    mains = given.where(is_main).select(F.col("record_id").alias("node"), F.col("record_id").alias("capture"))
+    placed, edge = mains, mains
+    while True:  # one more link away in each turn
+        near = edge.join(links, F.col("node") == F.col("a")).groupBy(F.col("b").alias("node"))
+        edge = stored(near.agg(F.min("capture").alias("capture")).join(placed, "node", "left_anti"), "reached")
+        if edge.isEmpty():
+            break
+        placed = placed.unionByName(edge)
+    known = placed.select(F.col("node").alias("a"))
+    apart = links.join(known, "a", "left_anti").select(F.col("a").cast("binary"), F.col("b").cast("binary"))
+    roots = components(apart.where("a < b")).select(F.col("node").cast("string").alias("record_id"), "root")
+    alone = given.select("record_id").join(known, F.col("record_id") == F.col("a"), "left_anti")
+    alone = alone.join(roots, "record_id", "left")
+    alone = alone.withColumn("root", F.coalesce("root", F.col("record_id").cast("binary")))
+    least = alone.groupBy("root").agg(F.min("record_id").alias("capture"))
+    alone = alone.join(least, "root").select("record_id", "capture")
+    found = placed.withColumnRenamed("node", "record_id").unionByName(alone)
+    # a main is its own capture, so its payload is not joined
+    every = given.where(is_main).withColumn("capture", F.col("record_id")).unionByName(
+        given.where(~F.coalesce(is_main, F.lit(False))).join(found, "record_id")
     )
-    two = through.groupBy("record_id").agg(F.min("main_id").alias("through_id"))
-    others = given.where(~is_main).join(one, "record_id", "left").join(two, "record_id", "left")
-    placed = others.withColumn("capture", F.coalesce("main_id", "through_id", "record_id")).drop("main_id", "through_id")
-    every = given.where(is_main).withColumn("capture", F.col("record_id")).unionByName(placed)
     record = F.struct(*[F.col(c) for c in given.columns if c != "error"])
     of = lambda *kinds: F.collect_list(F.when(F.col("record_type").isin(*kinds), record))
-    rest = F.collect_list(F.when(~F.col("record_type").isin("request", "metadata", *MAIN_TYPES), record))
+    rest = F.collect_list(F.when(~F.coalesce(F.col("record_type").isin("request", "metadata", *MAIN_TYPES), F.lit(False)), record))
     return every.groupBy(F.col("capture").alias("record_id")).agg(
         F.first(F.when(F.col("record_type").isin(*MAIN_TYPES), record), ignorenulls=True).alias("main"),
         of("request").alias("requests"),
@@ -240,17 +264,17 @@ def page_captures(records: DataFrame) -> DataFrame:
 
     The figures of a revisit are those read from the record it refers to.
     """
-    nested = stored(assemble(records), "transactions")
-    flat = nested.where("main is not null").select(
+    flat = assemble(records).where("main is not null").select(
         "record_id",
         F.get("metadata", F.lit(0))["fields"]["page_id"].cast("long").alias("page_id"),
-        F.col("main.payload_bytes").alias("own_bytes"),
-        F.col("main.payload_sha1").alias("own_sha1"),
+        F.octet_length("main.payload").cast("long").alias("own_bytes"),
+        F.sha1("main.payload").alias("own_sha1"),
         F.col("main.record_type").alias("record_type"),
         F.col("main.refers_to").alias("target"),
         F.col("main.target_uri").alias("target_uri"),
         F.size("requests").alias("n_requests"),
     )
+    flat = stored(flat, "transactions")
     held = flat.where("record_type <> 'revisit'").select(
         F.col("record_id").alias("target"), F.col("page_id").alias("refers_to"),
         F.col("own_bytes").alias("held_bytes"), F.col("own_sha1").alias("held_sha1"),

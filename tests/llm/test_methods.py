@@ -480,3 +480,25 @@ def test_assembly_through_siblings(spark):
     assert set(got) == {"r", "x", "v"}
     assert {q["record_id"] for q in got["r"]["requests"]} == {"q", "q2"} and got["r"]["metadata"][0]["record_id"] == "m"
     assert got["x"]["main"] is None and got["v"]["requests"] == []
+
+
+def test_assembled_captures_hold_payloads_and_heads(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/", "<p>é\r\n\r\nx</p>"), (2, "http://b/", "")], "page_id bigint, url string, html string")
+    warc.write_warc(pages, f"{tmp_path}/w")
+    rows = warc.assemble(warc.read_warc(spark, f"{tmp_path}/w")).collect()
+    got = {r["main"]["target_uri"]: r for r in rows}
+    assert bytes(got["http://a/"]["main"]["payload"]).decode() == "<p>é\r\n\r\nx</p>" and bytes(got["http://b/"]["main"]["payload"]) == b""
+    assert b"Content-Type: text/html" in bytes(got["http://a/"]["main"]["http_head"])
+    assert bytes(got["http://a/"]["requests"][0]["http_head"]) == b"GET http://a/ HTTP/1.1\r\n\r\n"
+    assert ("warc-type", "response") in [tuple(h) for h in got["http://a/"]["main"]["headers"]]
+
+
+def test_assembly_through_chains(spark):
+    schema = "record_id string, record_type string, concurrent_to array<string>, error string"
+    rows = [("r", "response", [], None), ("q", "request", ["r", "m"], None), ("m", "metadata", [], None), ("m2", "metadata", ["m"], None),
+            ("c", "conversion", ["m2"], None), ("x", "metadata", ["gone"], None), ("y", "request", ["gone"], None), ("z", "request", [], None),
+            ("s", "resource", ["r"], None)]
+    got = {r["record_id"]: r for r in warc.assemble(spark.createDataFrame(rows, schema)).collect()}
+    assert set(got) == {"r", "s", "x", "z"}
+    assert {m["record_id"] for m in got["r"]["metadata"]} == {"m", "m2"} and got["r"]["others"][0]["record_id"] == "c"
+    assert got["x"]["main"] is None and [q["record_id"] for q in got["x"]["requests"]] == ["y"]
