@@ -60,3 +60,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+# DuckDB: the unsigned crc32 of a text's UTF-8 bytes, bit by bit.
+CRC32_SQL = (
+    "xor(list_reduce(list_transform(range(octet_length(encode({text}))), "
+    "lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT), "
+    "lambda c, b: list_reduce(range(8), lambda d, k: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) "
+    "ELSE d >> 1 END, xor(c, b)), 4294967295), 4294967295)"
+)

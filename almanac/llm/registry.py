@@ -8,16 +8,20 @@ from almanac.llm import (
     crf_language,
     divergence,
     license_join,
+    manifest,
     merkle,
     mixing,
     secret_scan,
+    spelling,
     superminhash,
     toxicity,
+    url_filter,
     warc,
 )
 
 _PARTS = [
     warc, toxicity, superminhash, crf_language, mixing, divergence, license_join, best_fit_packing, secret_scan, merkle,
+    spelling, manifest, url_filter,
 ]
 
 
