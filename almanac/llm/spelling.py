@@ -43,8 +43,9 @@ _NODE = ["family", "size", "goal", "anchor", "path"]
 
 
 def lowered(text: Column) -> Column:
-    """A-Z in lower case, all other letters as they are."""
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z in lower case, all other letters as they are; text of ASCII takes the short way."""
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def planted_runs(docs: DataFrame) -> DataFrame:
