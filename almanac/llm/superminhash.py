@@ -11,9 +11,10 @@ Documents with equal shingle sets are one class. Classes that agree in one of 32
 share a bucket; a pair with similarity 0.8 is missed with a probability of
 (1 - 0.8 ** 4) ** 32 = 5e-8. In a bucket, members are compared in a chain first, links
 confirmed on the full sets join components, and then the members outside a bucket's largest
-component are compared with all its other components, exactly, in blocks of bounded size. Only links
-leave these tasks, so a bucket with thousands of near copies makes no list of pairs, and none of
-its links between components is lost.
+component are compared with all its other components, exactly, in blocks of bounded size. Members that no
+other member of the bucket comes near in size are left out, as are buckets of two, which the
+chain has decided. Only links leave these tasks, so a bucket with thousands of near copies makes
+no list of pairs, and none of its links between components is lost.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ CHAIN = 20_000
 MOST_CHAINS = 2
 # Characters of the texts on either side that one task compares with each other.
 BLOCK_CHARS = 4_000_000
+# Buckets of up to so many members are searched for members that none of the others comes near in size.
+SIZED = 10_000
 # Links whose union-find one task holds in memory, about 100 MB.
 TASK_LINKS = 400_000
 OUTPUTS = ("n_shingles", "component_id", "kept")
@@ -211,6 +214,11 @@ def _relabelled(labels: DataFrame | None, over: DataFrame) -> DataFrame:
     return stored(old.unionByName(fresh), "labels")
 
 
+def _sizes_allow(a: Column, b: Column) -> Column:
+    """Whether sets of these sizes can be linked: they share at most the smaller and cover at least the larger."""
+    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+
+
 def _pairs_of(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -224,7 +232,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, root) for the classes that are linked with another one."""
-    entries = classes.select("cls", F.explode("bands").alias("key")).distinct()
+    entries = classes.select("cls", "size", F.explode(F.array_distinct("bands")).alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(entries.join(shared, "key"), "members")
     wanted = members.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
@@ -236,9 +244,10 @@ def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
         # a very large bucket is chained in several parts, others in each round and band
         part = F.pmod(F.xxhash64(F.lit(chain), "key", "cls"), F.ceil(F.col("n") / CHAIN).cast("long"))
         along = Window.partitionBy("key", part).orderBy(F.xxhash64(F.lit(-chain), "key", "cls"), "cls")
-        cols = ["cls"] if labels is None else ["cls", "root"]
+        cols = ["cls", "size"] if labels is None else ["cls", "size", "root"]
         chained = rest.select(*cols, *[F.lead(c).over(along).alias(f"next_{c}") for c in cols])
         chained = chained.where("next_cls is not null" if labels is None else "next_root <> root")
+        chained = chained.where(_sizes_allow(F.col("size"), F.col("next_size")))
         pairs = chained.select(*_pairs_of(F.col("cls"), F.col("next_cls"))).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
@@ -302,15 +311,33 @@ def _across(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"])
 
 
+def _with_partner(rest: DataFrame) -> DataFrame:
+    """Members of open buckets that another member comes near enough in size, but for buckets of two.
+
+    In the order of sizes the nearest partner stands next to a member. Large buckets are kept whole.
+    """
+    along = Window.partitionBy("key").orderBy("size", "cls")
+    near = [F.coalesce(_sizes_allow(F.col("size"), of("size").over(along)), F.lit(False)) for of in (F.lag, F.lead)]
+    small = rest.where((F.col("n") > 2) & (F.col("n") <= SIZED)).withColumn("near", near[0] | near[1]).where("near")
+    return rest.where(F.col("n") > SIZED).unionByName(small.drop("near"))
+
+
+def _units(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links of the blocks of one task."""
+    return pd.concat([_across(block) for _, block in frame.groupby(["key", "mb", "qb"], sort=False)])
+
+
 def _compared(rest: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between members of one bucket that are in different components, all of them tested.
 
     The members outside a bucket's largest component are its queries. A large bucket is cut
     into blocks of members and of queries, and each block of either kind meets each of the other,
-    so no task holds more than two blocks. Only links leave a task.
+    so no task holds more than two blocks; small buckets are dealt to units of about a quarter of one.
+    Only links leave a task.
     """
     known = texts.groupBy("cls").agg(F.max(F.length("text")).alias("chars"))
-    entries = rest.select("key", "cls", "root").join(known, "cls")
+    entries = stored(_with_partner(rest).select("key", "cls", "root").join(known, "cls"), "entries")
+    units = 1 + 4 * (entries.agg(F.sum("chars")).first()[0] or 0) // BLOCK_CHARS
     parts = entries.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("chars").alias("chars"))
     blocks = parts.groupBy("key").agg(
         F.max(F.struct("m", "root", "chars")).alias("top"), F.sum("chars").alias("chars")
@@ -323,14 +350,19 @@ def _compared(rest: DataFrame, texts: DataFrame) -> DataFrame:
     each = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1))
     dealt = lambda n, k: F.pmod(F.xxhash64("cls", F.lit(k)), F.greatest(F.col(n), F.lit(1))).cast("int")
     own = ["key", "cls", "root"]
+    given = [*own, "member_blocks"]
     members = rows.select(
-        *own, F.lit(False).alias("query"), dealt("member_blocks", 1).alias("mb"), each("query_blocks").alias("qb")
+        *given, F.lit(False).alias("query"), dealt("member_blocks", 1).alias("mb"), each("query_blocks").alias("qb")
     )
     queries = rows.where("root <> most").select(
-        *own, F.lit(True).alias("query"), each("member_blocks").alias("mb"), dealt("query_blocks", 2).alias("qb")
+        *given, F.lit(True).alias("query"), each("member_blocks").alias("mb"), dealt("query_blocks", 2).alias("qb")
     )
-    every = members.unionByName(queries).join(texts, "cls")
-    return every.groupBy("key", "mb", "qb").applyInPandas(_across, "a binary, b binary").distinct()
+    whole = F.pmod(F.xxhash64("key"), F.lit(units))
+    every = members.unionByName(queries).select(
+        *own, "query", "mb", "qb", (F.col("member_blocks") > 1).alias("cut"),
+        F.when(F.col("member_blocks") > 1, F.xxhash64("key", "mb", "qb")).otherwise(whole).alias("unit"),
+    )
+    return every.join(texts, "cls").groupBy("cut", "unit").applyInPandas(_units, "a binary, b binary").distinct()
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -365,7 +397,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     filled = prints.where("cls is not null")
     classes = stored(
-        filled.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands")), "classes"
+        filled.groupBy("cls").agg(
+            F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min("bands").alias("bands")
+        ),
+        "classes",
     )
     labels = _class_components(classes, given)
     rooted = classes.select("cls", "rep").join(labels, classes["cls"] == labels["node"], "left").select(
@@ -373,9 +408,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_class = stored(rooted.join(least, "root").select("cls", "component_id"), "components")
-    found = prints.drop("bands").join(of_class, "cls", "left")
-    component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select(
+    found = filled.drop("bands").join(of_class, "cls")
+    alone = prints.where("cls is null").drop("bands").withColumn("component_id", F.col("doc_id"))
+    component = F.col("component_id")
+    return found.unionByName(alone).select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
