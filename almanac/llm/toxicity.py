@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm.common import crc32_mod, quoted, stored, table, without
+from almanac.llm.shingles import groups
 from almanac.llm.superminhash import near_duplicates
 
 # Labelled documents per class from which the shares are learned.
@@ -34,6 +35,8 @@ LEAST_SHARE = 0.5
 # Four letters begin many harmless words too, so they have to tell more.
 LEAST_SHARE_OF_FOUR = 0.8
 LEAST_DOCS = 2
+# Characters, with some for the record itself, that a task remembers of tokens it has read.
+REMEMBERED = 8_000_000
 THRESHOLD = 0.5
 OUTPUTS = ("score", "predicted")
 
@@ -63,7 +66,7 @@ def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Counts of the letter trigrams of all texts of one task; runs of other characters are one blank."""
     counts = np.zeros(_K**3, np.int64)
     for batch in batches:
-        for text in batch.column(0).to_pylist():
+        for text in (value.as_py() for value in batch.column(0)):
             if not text:
                 continue
             points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
@@ -164,12 +167,26 @@ def _best(token: str, model: np.ndarray) -> tuple[float, str]:
     return least, "".join(reversed(letters))
 
 
+class Memo(dict):
+    """What tokens mean, forgotten when the tokens have more than `REMEMBERED` characters."""
+
+    chars = 0
+
+    def keep(self, token: str, meaning: tuple) -> tuple:
+        self.chars += len(token) + 50
+        if self.chars > REMEMBERED:
+            self.clear()
+            self.chars = len(token) + 50
+        self[token] = meaning
+        return meaning
+
+
 class Restorer:
     """Words of a text with the tricks undone; remembers what tokens mean."""
 
-    def __init__(self, model: np.ndarray, remembered: int = 300_000):
-        self._model, self._remembered = model, remembered
-        self._known: dict[str, tuple[str, ...]] = {}
+    def __init__(self, model: np.ndarray):
+        self._model = model
+        self._known = Memo()
 
     def _read(self, token: str) -> tuple[str, ...]:
         core = _ENDS.sub("", token)
@@ -192,11 +209,7 @@ class Restorer:
 
     def read(self, token: str) -> tuple[str, ...]:
         words = self._known.get(token)
-        if words is None:
-            if len(self._known) > self._remembered:
-                self._known.clear()
-            words = self._known[token] = self._read(token)
-        return words
+        return self._known.keep(token, self._read(token)) if words is None else words
 
     def words(self, text: str) -> set[str]:
         return {word for token in self.tokens(text) for word in self.read(token)}
@@ -208,22 +221,23 @@ def features(word: str) -> tuple[str, ...]:
 
 
 def _evidence(model: np.ndarray, wanted: set[str] | None = None) -> Callable:
-    """Per task: the features of the texts, those wanted if given, each with the components that hold it."""
+    """The features of the texts, those wanted if given, each with the components that hold it; per group of texts
+    without repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Restorer(model)
-        found: set[tuple[str, int]] = set()
         for batch in batches:
-            for text, component in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = {f for word in reader.words(text or "") for f in features(word)}
-                found.update((f, component) for f in (own if wanted is None else own & wanted))
-        rows = list(found)
-        for i in range(0, len(rows), 50_000):
-            part = rows[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.string()), pa.array([r[1] for r in part], pa.int64())],
-                ["feature", "value"],
-            )
+            for first, texts in groups(batch.column(0)):
+                found: set[tuple[str, int]] = set()
+                for text, component in zip(texts, batch.column(1).slice(first, len(texts))):
+                    own = {f for word in reader.words(text.as_py() or "") for f in features(word)}
+                    number = component.as_py()
+                    found.update((f, number) for f in (own if wanted is None else own & wanted))
+                rows = list(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())],
+                    ["feature", "value"],
+                )
 
     return run
 
@@ -271,27 +285,27 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -
     return model, {f: p for f, p in shares.items() if p >= least(f)}
 
 
-def _scored(model: np.ndarray, shares: dict[str, float]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Restorer(model)
-        of_token: dict[str, tuple[tuple[str, float], ...]] = {}
+def _scorer(model: np.ndarray, shares: dict[str, float]) -> Callable:
+    """A function of the text column alone: the other columns stay with Spark, and a batch of texts is read
+    one by one."""
 
-        def telling(token: str) -> tuple[tuple[str, float], ...]:
-            out = []
-            for word in reader._read(token):
-                share = max(shares.get(f, 0.0) for f in features(word))
-                if share:
-                    out.append((word, share))
-            return tuple(out)
+    def telling(reader: Restorer, token: str) -> tuple[tuple[str, float], ...]:
+        out = []
+        for word in reader._read(token):
+            share = max(shares.get(f, 0.0) for f in features(word))
+            if share:
+                out.append((word, share))
+        return tuple(out)
+
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        reader, of_token = Restorer(model), Memo()
 
         def score(text: str) -> float:
-            if len(of_token) > 300_000:
-                of_token.clear()
             hits: dict[str, float] = {}
             for token in reader.tokens(text):
                 got = of_token.get(token)
                 if got is None:
-                    got = of_token[token] = telling(token)
+                    got = of_token.keep(token, telling(reader, token))
                 if got:
                     hits.update(got)
             rest = 1.0
@@ -300,15 +314,12 @@ def _scored(model: np.ndarray, shares: dict[str, float]) -> Callable:
             return 1.0 - rest
 
         for batch in batches:
-            at = batch.schema.get_field_index("_toxic_text")
-            scores = [score(t) if t else 0.0 for t in batch.column(at).to_pylist()]
-            others = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in others), pa.array(scores, pa.float64())],
-                [*(batch.schema.names[i] for i in others), "score"],
-            )
+            found = np.zeros(len(batch))
+            for i, text in enumerate(batch):
+                found[i] = score(text.as_py() or "")
+            yield pa.array(found)
 
-    return run
+    return F.arrow_udf(scores, "double")
 
 
 def score_texts(
@@ -320,12 +331,9 @@ def score_texts(
     empty table. Columns with the names of the outputs are replaced.
     """
     model, shares = train(docs, labels, sample)
-    kept = without(docs, *OUTPUTS, "_toxic_text")
-    if not keep_text:
-        kept = without(kept, "text")
-    given = docs.select(*[quoted(c) for c in kept.columns], F.col("text").cast("string").alias("_toxic_text"))
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    scored = given.mapInArrow(_scored(model, shares), f"{fields}, score double" if fields else "score double")
+    kept = without(docs, *OUTPUTS) if keep_text else without(docs, *OUTPUTS, "text")
+    score = _scorer(model, shares)(F.col("text").cast("string"))
+    scored = docs.select(*[quoted(c) for c in kept.columns], score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
