@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from almanac.llm.common import crc32_mod, mixed, quoted, table, without
 
 HELD_OUT, HELD_OUT_REST = 3, 1
-# Texts per language from which the field is learned, and their greatest length.
+# Texts per language from which the field is learned, and the characters taken of each: of a longer text
+# a stretch whose place follows from its hash.
 PER_LANGUAGE = 400
 MOST_CHARS = 20_000
 BITS = 17
@@ -75,6 +76,11 @@ def read_words(texts: list[str]) -> Words:
     points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
     basic = np.minimum(points, 0xFFFF).astype(np.uint16)
     codes = np.where(points > 0xFFFF, 0, _CODES[basic])
+    above = np.flatnonzero(points > 0xFFFF)
+    if above.size:
+        kinds, which = np.unique(points[above], return_inverse=True)
+        block = [0x800 + (int(p) >> 6) if chr(p).isalpha() else 0 for p in kinds]
+        codes[above] = np.array(block, codes.dtype)[which]
     ends_of_text = np.cumsum([len(t) + 1 for t in texts])
     is_letter = codes != 0
     at = np.flatnonzero(is_letter)
@@ -310,7 +316,7 @@ def _predicted(field: Field, with_runs: bool) -> Callable:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_chars: int = MOST_CHARS) -> Field:
     """Learn from labelled texts whose id is not held out; the sample on the driver is bounded."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= most_chars))
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.where(crc32_mod(F.col("doc_id"), HELD_OUT) != HELD_OUT_REST)
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003))
@@ -318,7 +324,10 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_chars: int = M
     rows = []
     if sizes:
         # the draw bounds what is sorted; the first of each language by hash are taken
-        drawn = known.where(draw < shares[F.col("lang")] * 1_000_003).select("lang", "text", F.xxhash64("text").alias("h"))
+        h = F.xxhash64("text")
+        place = F.pmod(h, F.greatest(F.length("text") - most_chars, F.lit(0)) + 1).cast("int")
+        part = F.substring("text", place + 1, F.lit(most_chars)).alias("text")
+        drawn = known.where(draw < shares[F.col("lang")] * 1_000_003).select("lang", part, h.alias("h"))
         first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
         rows = drawn.withColumn("r", first).where(F.col("r") <= per_language).orderBy("lang", "r").collect()
     return learn([r["text"] for r in rows], [r["lang"] for r in rows])

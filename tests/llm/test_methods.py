@@ -502,3 +502,17 @@ def test_assembly_through_chains(spark):
     assert set(got) == {"r", "s", "x", "z"}
     assert {m["record_id"] for m in got["r"]["metadata"]} == {"m", "m2"} and got["r"]["others"][0]["record_id"] == "c"
     assert got["x"]["main"] is None and [q["record_id"] for q in got["x"]["requests"]] == ["y"]
+
+
+def test_languages_of_long_texts_and_letters_beyond_the_first_plane(spark):
+    rng = random.Random(4)
+    german = ["der", "fluss", "läuft", "nicht", "über", "die", "alte", "mühle", "schön", "zwischen", "straße", "und"]
+    english = ["the", "river", "runs", "with", "over", "old", "mill", "through", "this", "that", "which", "and"]
+    say = lambda words, n: ". ".join(" ".join(rng.choices(words, k=8)) for _ in range(n))
+    rows = [(i, say(german, 500), "de") for i in range(40)] + [(i, say(english, 20), "en") for i in range(40, 90)]
+    rows.append((1000, "𐐀𐐁𐐂 𐐃𐐄𐐅", None))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert df.where("lang = 'de' and length(text) <= 20000").count() == 0
+    got = {r["doc_id"]: r["lang_pred"] for r in crf_language.predict_languages(df).collect()}
+    assert all(got[i] == lang for i, _, lang in rows[:-1])
+    assert got[1000] in ("de", "en")
