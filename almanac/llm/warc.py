@@ -9,14 +9,18 @@ ends a record, so files appear with the job's commit and a lost task leaves noth
 They are read whole, a file per row, so the writer keeps them small (`ARCHIVE_BYTES`
 of payload on average, compressed); a record itself has to fit into one value, that is 2 GB. Records keep
 their headers, HTTP head and payload, also inside the assembled captures.
+
+Assembly decides on light rows, whose responses have no payload, named by file and place, which are the
+same on every read; the payloads are read once more and cross one shuffle. The copy that fixes the row numbers for the writer is
+emptied when the archives are there.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +36,9 @@ DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAIN_TYPES = ("response", "revisit", "resource")
+BLOCK = ("headers", "http_head", "payload")
 _HEAD = re.compile(rb"\s*WARC/\d+\.\d+\r?\n")
+_NEXT = re.compile(rb"(?m)^WARC/\d+\.\d+\r?\n")
 RECORD = (
     "file string, place bigint, record_type string, record_id string, concurrent_to array<string>, "
     "target_uri string, date string, refers_to string, payload_digest string, block_bytes bigint, "
@@ -55,8 +61,8 @@ def _uid(kind: str, uid: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """Pages with digest, size and the capture that holds their payload.
+def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> tuple[DataFrame, str]:
+    """Pages with digest, size and the capture that holds their payload; and the folder of their stored copy.
 
     Of pages with equal payloads of at least `least` bytes the one with the largest page_id is the response,
     the others revisit it. The group is found by a combined maximum per digest; the
@@ -68,12 +74,14 @@ def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         F.octet_length(text).cast("long").alias("size"), F.sha1(text.cast("binary")).alias("digest"),
         F.monotonically_increasing_id().alias("uid"),
     )
-    rows = stored(rows, "captures")  # fixes the row numbers
+    path = staging_path(pages.sparkSession, "captures")
+    rows.write.parquet(path)  # fixes the row numbers
+    rows = pages.sparkSession.read.schema(rows.schema).parquet(path)
     big = rows.where(F.col("size") >= least).select("digest", "page_id", "uid")
     held = big.groupBy("digest").agg(F.max(F.struct("page_id", "uid"))["uid"].alias("held_by"))
     # only the revisits are named, so the payloads meet a narrow table by their row number
     revisits = big.join(held, "digest").where("uid <> held_by").select("uid", "held_by")
-    return rows.join(stored(revisits, "revisits"), "uid", "left")
+    return rows.join(stored(revisits, "revisits"), "uid", "left"), path
 
 
 def write_warc(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
@@ -82,7 +90,7 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
     Null ids and addresses are left out of the records and come back as null. Repeated rows are
     captures of their own; an empty table gives no archive.
     """
-    rows = captures(pages, least)
+    rows, copy = captures(pages, least)
     revisit = F.col("held_by").isNotNull()
     uri = F.col("url")
     for sign, code in ((" ", "%20"), ("\r", "%0D"), ("\n", "%0A")):  # a header is one line
@@ -119,25 +127,31 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
     sizes = pages.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("html")).alias("bytes")).first()
     most = max(3, 3 * int(ARCHIVE_BYTES * sizes["n"] / max(1, sizes["bytes"] or 0)))
     lines = rows.select(F.explode(F.array(request, answer, metadata)).alias("value"))
-    lines.write.options(lineSep=END, compression="gzip", maxRecordsPerFile=str(most)).text(path)
+    options = {"lineSep": END, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    lines.write.options(maxRecordsPerFile=str(most), **options).text(path)
+    pages.sparkSession.createDataFrame([], rows.schema).write.mode("overwrite").parquet(copy)
 
 
 def parse(data: bytes) -> Iterator[dict]:
     """The records of an archive, plain or compressed, with their headers and block.
 
-    What is no record is given as a row with an error, and the rest of the file is left.
+    What is no record is given as a row with an error, and reading goes on at the next record header.
+    Of a compressed archive that is cut off or damaged, what can be unpacked is read, and the
+    damage is an error row.
     """
+    damage = None
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+        data, damage = _unpacked(data)
     at = 0
     while at < len(data):
         if not data[at : at + 64].strip() and not data[at:].strip():
-            return
+            break
         found = _HEAD.match(data, at)
         end = data.find(b"\r\n\r\n", found.end()) if found else -1
         if end < 0:
             yield {"place": at, "error": "no record header", "headers": [], "block": b""}
-            return
+            at = _next_head(data, found.end() if found else at + 1)
+            continue
         headers = []
         for line in data[found.end() : end].split(b"\r\n"):
             name, _, value = line.partition(b":")
@@ -145,10 +159,42 @@ def parse(data: bytes) -> Iterator[dict]:
         size = dict(headers).get("content-length", "")
         if not size.isdigit() or end + 4 + int(size) > len(data):
             yield {"place": at, "error": "bad content length", "headers": headers, "block": b""}
-            return
+            at = _next_head(data, end)
+            continue
         block = data[end + 4 : end + 4 + int(size)]
         yield {"place": at, "error": None, "headers": headers, "block": block}
         at = end + 4 + int(size)
+    if damage:
+        yield {"place": len(data), "error": damage, "headers": [], "block": b""}
+
+
+def _unpacked(data: bytes) -> tuple[bytes, str | None]:
+    """The content of all gzip members up to the first that is damaged, with what can be had of it."""
+    out, damage = [], None
+    while data[:2] == b"\x1f\x8b" and not damage:
+        member = zlib.decompressobj(wbits=31)
+        try:
+            out.append(member.decompress(data))
+        except zlib.error:
+            # once more in small pieces, to keep what comes before the damage
+            member = zlib.decompressobj(wbits=31)
+            damage = "damaged gzip member"
+            for i in range(0, len(data), 512):
+                try:
+                    out.append(member.decompress(data[i : i + 512]))
+                except zlib.error:
+                    break
+            break
+        if not member.eof:
+            damage = "cut-off gzip member"
+        data = member.unused_data
+    return b"".join(out), damage
+
+
+def _next_head(data: bytes, at: int) -> int:
+    """Where the next record header from `at` on begins, or the end."""
+    found = _NEXT.search(data, at)
+    return found.start() if found else len(data)
 
 
 def _row(file: str, record: dict) -> dict:
@@ -188,27 +234,36 @@ _ARROW = pa.schema(
 )
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            rows, size = [], 0
-            for record in parse(batch.column(1)[i].as_py() or b""):
-                rows.append(_row(batch.column(0)[i].as_py(), record))
-                size += len(record["block"])
-                if len(rows) == 2000 or size > ARCHIVE_BYTES:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-                    rows, size = [], 0
-            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+def _reader(light: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows, size = [], 0
+                for record in parse(batch.column(1)[i].as_py() or b""):
+                    row = _row(batch.column(0)[i].as_py(), record)
+                    if light and row["record_type"] in MAIN_TYPES:
+                        row.update(dict.fromkeys(BLOCK))
+                    rows.append(row)
+                    size += len(row["payload"] or b"")
+                    if len(rows) == 2000 or size > ARCHIVE_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+                        rows, size = [], 0
+                yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+
+    return run
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under a path; http_head and payload together are its block."""
+def read_warc(spark: SparkSession, path: str, light: bool = False) -> DataFrame:
+    """One row per record of the archives under a path; http_head and payload together are its block.
+
+    With `light` responses, revisits and resources come without their headers and block.
+    """
     # an archive per batch keeps one file in memory at a time
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_records, RECORD)
+    return files.mapInArrow(_reader(light), RECORD)
 
 
-def assemble(records: DataFrame) -> DataFrame:
+def assemble(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
     """One nested row per capture: record_id, main, requests, metadata, others.
 
     Records are linked when one names the other as concurrent, whichever it is. A record belongs to
@@ -216,15 +271,23 @@ def assemble(records: DataFrame) -> DataFrame:
     smallest id. Linked records that reach none, also those linked through an id that is not there,
     are one capture with an empty main and the smallest of their ids. Repeated records count once;
     records without an id are left out. The records of one capture are one row by its definition.
+    `light` gives the same records, where responses may lack headers and block, if that is cheaper to have.
     """
-    rows = records.where("record_id is not null and error is null")
-    # the archives are read once, and the row numbers are fixed
-    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "records")
-    # only repeated rows are named, so the payloads meet a narrow table by their row number
-    first = rows.groupBy("record_id").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = rows.select("record_id", "_row").join(first, "record_id").where("_row <> _first").select("_row")
-    given = rows.join(stored(again, "repeated"), "_row", "left_anti").drop("_row")
-    is_main = F.col("record_type").isin(*MAIN_TYPES)
+    usable = "record_id is not null and error is null"
+    is_main = F.coalesce(F.col("record_type").isin(*MAIN_TYPES), F.lit(False))
+    columns = [c for c in records.columns if c != "error"]
+    if not {"file", "place"} <= set(columns):  # records from elsewhere: numbered, and fixed by a copy
+        numbered = {"file": F.lit(""), "place": F.monotonically_increasing_id()}
+        records, light = stored(records.withColumns(numbered), "numbered"), None
+    if light is None:
+        light = records.withColumns({c: F.when(~is_main, F.col(c)) for c in BLOCK if c in columns})
+    rows = stored(light.where(usable).drop("error"), "records")
+    # only repeated rows are named, so the payloads meet a narrow table by file and place
+    at = F.struct("file", "place")
+    first = rows.groupBy("record_id").agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = rows.join(first, "record_id").where(at != F.col("_first")).select("file", "place")
+    again = stored(again, "repeated")
+    given = rows.join(again, ["file", "place"], "left_anti").select(*rows.columns)
     named = given.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b")).where("b is not null")
     links = stored(named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     mains = given.where(is_main).select(F.col("record_id").alias("node"), F.col("record_id").alias("capture"))
@@ -243,12 +306,13 @@ def assemble(records: DataFrame) -> DataFrame:
     alone = alone.withColumn("root", F.coalesce("root", F.col("record_id").cast("binary")))
     least = alone.groupBy("root").agg(F.min("record_id").alias("capture"))
     alone = alone.join(least, "root").select("record_id", "capture")
-    found = placed.withColumnRenamed("node", "record_id").unionByName(alone)
+    found = stored(placed.withColumnRenamed("node", "record_id").unionByName(alone), "placed")
     # a main is its own capture, so its payload is not joined
-    every = given.where(is_main).withColumn("capture", F.col("record_id")).unionByName(
-        given.where(~F.coalesce(is_main, F.lit(False))).join(found, "record_id")
+    whole = records.where(usable).where(is_main).drop("error").join(again, ["file", "place"], "left_anti")
+    every = whole.withColumn("capture", F.col("record_id")).unionByName(
+        given.where(~is_main).join(found, "record_id")
     )
-    record = F.struct(*[F.col(c) for c in given.columns if c != "error"])
+    record = F.struct(*columns)
     of = lambda *kinds: F.collect_list(F.when(F.col("record_type").isin(*kinds), record))
     rest = F.collect_list(F.when(~F.coalesce(F.col("record_type").isin("request", "metadata", *MAIN_TYPES), F.lit(False)), record))
     return every.groupBy(F.col("capture").alias("record_id")).agg(
@@ -259,12 +323,12 @@ def assemble(records: DataFrame) -> DataFrame:
     )
 
 
-def page_captures(records: DataFrame) -> DataFrame:
+def page_captures(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each assembled capture.
 
     The figures of a revisit are those read from the record it refers to.
     """
-    flat = assemble(records).where("main is not null").select(
+    flat = assemble(records, light).where("main is not null").select(
         "record_id",
         F.get("metadata", F.lit(0))["fields"]["page_id"].cast("long").alias("page_id"),
         F.octet_length("main.payload").cast("long").alias("own_bytes"),
@@ -293,7 +357,7 @@ def page_captures(records: DataFrame) -> DataFrame:
 def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    return page_captures(read_warc(spark, path))
+    return page_captures(read_warc(spark, path), read_warc(spark, path, light=True))
 
 
 QUERIES = {"op1_warc_transactions": op1_warc_transactions}

@@ -516,3 +516,34 @@ def test_languages_of_long_texts_and_letters_beyond_the_first_plane(spark):
     got = {r["doc_id"]: r["lang_pred"] for r in crf_language.predict_languages(df).collect()}
     assert all(got[i] == lang for i, _, lang in rows[:-1])
     assert got[1000] in ("de", "en")
+
+
+def test_damaged_archives_give_error_rows(spark, tmp_path):
+    one = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <a>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    two = one.replace(b"<a>", b"<b>").replace(b"abc", b"xyz")
+    noise = random.Random(1).randbytes(3000)
+    cut = gzip.compress(one) + gzip.compress(two + noise)[:-900]
+    rows = list(warc.parse(cut))
+    assert [r["block"] for r in rows if not r["error"]] == [b"abc", b"xyz"]
+    assert rows[-1]["error"] == "cut-off gzip member"
+    hurt = bytearray(gzip.compress(one) + gzip.compress(two))
+    hurt[-40:-20] = b"\xff" * 20
+    rows = list(warc.parse(bytes(hurt)))
+    assert rows[0]["block"] == b"abc" and rows[-1]["error"] == "damaged gzip member"
+    # after a bad record the next one is read
+    bad = b"WARC/1.1\r\nContent-Length: nine\r\n\r\nshort\r\n\r\n"
+    assert [r["error"] for r in warc.parse(one + bad + two)] == [None, "bad content length", None]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "cut.warc.gz").write_bytes(cut)
+    (tmp_path / "w" / "good.warc").write_bytes(one + bad + two)
+    read = warc.read_warc(spark, f"{tmp_path}/w").collect()
+    assert sum(r["error"] is None for r in read) == 4 and sum(r["error"] is not None for r in read) >= 2
+    assert {r["record_id"] for r in warc.assemble(warc.read_warc(spark, f"{tmp_path}/w")).collect()} == {"<a>", "<b>"}
+
+
+def test_captures_with_clashing_columns(spark, tmp_path):
+    rows = [(1, "http://a", "x" * 1200, "r", "p"), (2, "http://b", "x" * 1200, "r", "p"), (None, None, None, "r", "p")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, record_type string, Payload string")
+    warc.write_warc(pages, f"{tmp_path}/w")
+    got = {r["page_id"]: r for r in warc.page_captures(warc.read_warc(spark, f"{tmp_path}/w")).collect()}
+    assert got[1]["refers_to"] == 2 and got[2]["record_type"] == "response" and got[None]["payload_bytes"] == 0
