@@ -263,6 +263,23 @@ def read_warc(spark: SparkSession, path: str, light: bool = False) -> DataFrame:
     return files.mapInArrow(_reader(light), RECORD)
 
 
+def _without_main(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """record_id and capture of records (node) that no main is linked with: the smallest id of those linked.
+
+    All links of such records are links among themselves, or through ids that are not there.
+    """
+    known = ids.select(F.col("node").alias("a"))
+    step = links.join(known, "a", "left_semi")
+    # the ids in between are linked with these records alone, else a main would reach them
+    step = step.unionByName(step.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    apart = step.select(F.col("a").cast("binary"), F.col("b").cast("binary")).where("a < b").distinct()
+    roots = components(apart).select(F.col("node").cast("string").alias("node"), "root")
+    alone = ids.join(roots, "node", "left")
+    alone = alone.withColumn("root", F.coalesce("root", F.col("node").cast("binary")))
+    least = alone.groupBy("root").agg(F.min("node").alias("capture"))
+    return alone.join(least, "root").select(F.col("node").alias("record_id"), "capture")
+
+
 def assemble(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
     """One nested row per capture: record_id, main, requests, metadata, others.
 
@@ -283,30 +300,27 @@ def assemble(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
         light = records.withColumns({c: F.when(~is_main, F.col(c)) for c in BLOCK if c in columns})
     rows = stored(light.where(usable).drop("error"), "records")
     # only repeated rows are named, so the payloads meet a narrow table by file and place
+    twice = rows.groupBy("record_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    twice = rows.select("record_id", "file", "place").join(stored(twice, "twice"), "record_id")
     at = F.struct("file", "place")
-    first = rows.groupBy("record_id").agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = rows.join(first, "record_id").where(at != F.col("_first")).select("file", "place")
+    first = twice.groupBy("record_id").agg(F.min(at).alias("_first"))
+    again = twice.join(first, "record_id").where(at != F.col("_first")).select("file", "place")
     again = stored(again, "repeated")
     given = rows.join(again, ["file", "place"], "left_anti").select(*rows.columns)
     named = given.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b")).where("b is not null")
-    links = stored(named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    mains = given.where(is_main).select(F.col("record_id").alias("node"), F.col("record_id").alias("capture"))
-    placed, edge = mains, mains
-    while True:  # one more link away in each turn
+    links = stored(named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    placed = edge = given.where(is_main).select(F.col("record_id").alias("node"), F.col("record_id").alias("capture"))
+    ids = given.where(~is_main).select(F.col("record_id").alias("node"))
+    while True:  # one more link away in each turn, as long as records are left and something is reached
         near = edge.join(links, F.col("node") == F.col("a")).groupBy(F.col("b").alias("node"))
         edge = stored(near.agg(F.min("capture").alias("capture")).join(placed, "node", "left_anti"), "reached")
-        if edge.isEmpty():
-            break
         placed = placed.unionByName(edge)
-    known = placed.select(F.col("node").alias("a"))
-    apart = links.join(known, "a", "left_anti").select(F.col("a").cast("binary"), F.col("b").cast("binary"))
-    roots = components(apart.where("a < b")).select(F.col("node").cast("string").alias("record_id"), "root")
-    alone = given.select("record_id").join(known, F.col("record_id") == F.col("a"), "left_anti")
-    alone = alone.join(roots, "record_id", "left")
-    alone = alone.withColumn("root", F.coalesce("root", F.col("record_id").cast("binary")))
-    least = alone.groupBy("root").agg(F.min("record_id").alias("capture"))
-    alone = alone.join(least, "root").select("record_id", "capture")
-    found = stored(placed.withColumnRenamed("node", "record_id").unionByName(alone), "placed")
+        ids = stored(ids.join(edge, "node", "left_anti"), "left")
+        if ids.isEmpty() or edge.isEmpty():
+            break
+    found = placed.withColumnRenamed("node", "record_id")
+    if not ids.isEmpty():
+        found = stored(found.unionByName(_without_main(ids, links)), "placed")
     # a main is its own capture, so its payload is not joined
     whole = records.where(usable).where(is_main).drop("error").join(again, ["file", "place"], "left_anti")
     every = whole.withColumn("capture", F.col("record_id")).unionByName(
