@@ -146,6 +146,16 @@ def ward_events(events: DataFrame) -> DataFrame:
     )
 
 
+def arriving_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User events with the delivery they arrive in, ten days each: one in ten is sent twice, one in 17 comes
+    with the delivery after its own."""
+    events = table(spark, sf_dir, "events")
+    own = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("int")
+    held = (F.col("event_id") % 17 == 0).cast("int")
+    sent = events.withColumn("delivery", F.least(own + held, F.lit(2)))
+    return sent.unionByName(sent.where("event_id % 10 = 0"))
+
+
 def raw_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw key per order, one in eight for no known dataset."""
     names = F.array(

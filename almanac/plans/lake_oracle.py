@@ -193,6 +193,20 @@ FROM state s LEFT JOIN (SELECT ward, COUNT(*) AS visits_admitted, round(avg(wait
                         FROM waits GROUP BY 1) w ON s.ward = w.ward""",
     "ward_waits": f"WITH {WARDS} SELECT * FROM waits",
     "ward_archive": f"WITH {WARDS} SELECT ward, kind, COUNT(*) AS n FROM patient GROUP BY 1, 2",
+    "ward_late_events": """WITH sent AS (
+  SELECT event_id, user_id, event_type, ts,
+         least(least((day(ts) - 1) // 10, 2) + CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END, 2) AS delivery FROM events),
+arriving AS (SELECT * FROM sent UNION ALL SELECT * FROM sent WHERE event_id % 10 = 0),
+marked AS (
+  SELECT *, coalesce(ts <= (SELECT max(s.ts) FROM sent s WHERE s.delivery < a.delivery) - INTERVAL 10 MINUTE, false) AS late
+  FROM arriving a),
+once AS (SELECT DISTINCT event_id, 'ward-' || (user_id % 8) AS ward, event_type FROM marked WHERE NOT late),
+counts AS (
+  SELECT ward, count(*) FILTER (event_type IN ('view', 'signup')) AS arrivals,
+         count(*) FILTER (event_type = 'click') AS admissions,
+         count(*) FILTER (event_type NOT IN ('view', 'signup', 'click')) AS discharges FROM once GROUP BY ward)
+SELECT *, admissions - discharges AS occupancy, arrivals - admissions AS waiting,
+       (SELECT count(*) FROM marked WHERE late) AS late_events FROM counts""",
     "imaging_studies": """SELECT 'study-' || user_id AS "StudyInstanceUID", 'CL' AS "Modality",
        COUNT(DISTINCT event_id % 40) AS series, COUNT(*) AS images FROM events WHERE event_type = 'click' GROUP BY 1""",
     "churn_scores": """SELECT c_custkey, round(p, 10) AS churn_probability, p >= 0.5 AS churn FROM (

@@ -392,6 +392,21 @@ def ward_archive(spark, sf_dir):
     return archive.groupBy("ward", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def ward_late_events(spark, sf_dir):
+    """Three deliveries with repeated and late events, the runs started again after each."""
+    arriving = derived.arriving_events(spark, sf_dir)
+    landing, out, offsets = (staging_path(spark, n) for n in ("landing", "wards", "offsets"))
+    late = 0
+    for delivery in range(3):
+        arriving.where(F.col("delivery") == delivery).drop("delivery").write.mode("append").parquet(landing)
+        events = spark.readStream.schema(arriving.drop("delivery").schema).parquet(landing)
+        runs = occupancy.start_occupancy(spark, derived.ward_events(events), out, offsets)
+        runs[1].awaitTermination()
+        late += occupancy.late_events(runs[1])
+    return occupancy.current_wards(spark, out).withColumn("late_events", F.lit(late).cast("bigint"))
+
+
 # ---- smaller jobs ----------------------------------------------------------------------
 
 

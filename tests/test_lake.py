@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +148,45 @@ def test_occupancy_over_several_batches(spark, tmp_path):
     assert spark.read.parquet(f"{out}/archive").count() == len(rows)
 
 
+def test_repeated_late_and_nameless_events(spark, tmp_path):
+    at = lambda minute: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+    schema = "event_id string, visit_id string, ward string, kind string, ts timestamp"
+    batches = [
+        [("a", "v1", "w", "arrive", at(0)), ("a", "v1", "w", "arrive", at(0)), (None, "v1", "w", "admit", at(7)),
+         (None, "v1", "w", "admit", at(7)), ("c", "v2", "w", "admit", at(600)), (None, None, None, None, at(600))],
+        # the mark stands at 590: two late rows of one event, one that is not
+        [("d", "v1", "w", "discharge", at(5)), ("d", "v1", "w", "discharge", at(5)), ("e", "v2", "w", "arrive", at(595))],
+        # the state of v1 has ended by now
+        [("f", "v3", "w", "arrive", at(3000))],
+    ]
+    source, out, offsets = (str(tmp_path / n) for n in ("events", "out", "offsets"))
+    late = []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        runs = occupancy.start_occupancy(spark, spark.readStream.schema(schema).parquet(source), out, offsets)
+        runs[1].awaitTermination()
+        late.append(occupancy.late_events(runs[1]))
+    assert late == [0, 2, 0]
+    wards = {r.ward: (r.arrivals, r.admissions, r.discharges) for r in occupancy.current_wards(spark, out).collect()}
+    assert wards == {"w": (3, 2, 0), None: (0, 0, 0)}
+    assert sorted(tuple(r) for r in occupancy.current_waits(spark, out).collect()) == [("v1", "w", 420), ("v2", "w", 300)]
+    visits = spark.read.parquet(f"{out}/visits")
+    assert [tuple(r) for r in occupancy.admitted_first(visits).collect()] == [] and visits.where("visit_id = 'v2'").count() >= 2
+    assert {r.visit_id for r in visits.where("closed").collect()} >= {"v1", "v2"}
+    assert spark.read.parquet(f"{out}/archive").count() == 10
+
+
+def test_late_events_of_many_batches():
+    counter = occupancy.LateCounter()
+    for n in range(250):
+        operators = [SimpleNamespace(numRowsDroppedByWatermark=n % 3), SimpleNamespace(numRowsDroppedByWatermark=1)]
+        counter.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(runId="r", stateOperators=operators)))
+    with pytest.raises(TimeoutError):
+        counter.total("r", seconds=0.01)
+    counter.onQueryTerminated(SimpleNamespace(runId="r"))
+    assert counter.total("r") == 250 + sum(n % 3 for n in range(250))
+
+
 def test_retail_job(spark, tmp_path):
     raw, out = tmp_path / "retail.csv", str(tmp_path / "out")
     lines = ["InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"]
