@@ -31,6 +31,13 @@ DATE_SHAPES = [
     (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
 ]
 
+# Shapes that notices use besides.
+NOTICE_SHAPES = [
+    (r"\d{1,2} [A-Z][a-z]+ \d{4}", "d MMMM yyyy"),
+    (r"[A-Z][a-z]+ \d{1,2}, \d{4}", "MMMM d, yyyy"),
+    (r"[A-Z][a-z]+ \d{1,2} \d{4}", "MMMM d yyyy"),
+]
+
 # Shapes tried for a whole invoice-date column, month first (fixed values).
 INVOICE_FORMATS = [
     "M/d/yyyy H:mm",
@@ -44,7 +51,7 @@ INVOICE_FORMATS = [
 DAY_FIRST_FORMATS = ["d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "d/M/yyyy"]
 
 
-def parse_date_text(col: Column) -> Column:
+def parse_date_text(col: Column, shapes: list[tuple[str, str]] = DATE_SHAPES) -> Column:
     """The date in any of the declared shapes, else NULL.
 
     A failed read is costly, so only formats that fit the shape of the text are tried.
@@ -52,14 +59,14 @@ def parse_date_text(col: Column) -> Column:
     text = F.trim(col)
     reads = [
         F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(fmt)))
-        for shape, fmt in DATE_SHAPES
+        for shape, fmt in shapes
     ]
     return F.coalesce(*reads)
 
 
 def parse_utc(col: Column) -> Column:
-    """ISO text with or without an offset to a UTC timestamp; unreadable is NULL."""
-    return F.try_to_timestamp(F.trim(col))
+    """ISO text with or without an offset, or one of the declared shapes, to a UTC timestamp; unreadable is NULL."""
+    return F.coalesce(F.try_to_timestamp(F.trim(col)), parse_date_text(col, DATE_SHAPES + NOTICE_SHAPES))
 
 
 def floor_day(col: Column) -> Column:

@@ -132,6 +132,19 @@ def unreadable_years(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
+def notice_records(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """All records of outbreak documents (`r`) with their publication date, NULL where it cannot be read."""
+    return _records(df, NOTICE_RECORDS, keep or []).withColumn("publication_date", parse_utc(F.col("r.PublicationDate")))
+
+
+def undated_notices(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The records without a readable date, for quarantine, and whether they had a date text at all."""
+    reason = F.when(or_null(F.col("r.PublicationDate")).isNull(), "no date").otherwise("unreadable date")
+    return records.where("publication_date is null").select(
+        *(keep or []), F.to_json("r").alias("record"), reason.alias("reason")
+    )
+
+
 def parse_outbreaks(
     df: DataFrame, countries: DataFrame, keep: list[str] | None = None
 ) -> DataFrame:
@@ -139,10 +152,13 @@ def parse_outbreaks(
 
     Disease and country come from the title; the country dimension resolves names.
     """
+    return outbreak_rows(notice_records(df, keep), countries, keep)
+
+
+def outbreak_rows(records: DataFrame, countries: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rows of the dated ones of `notice_records`; the others are those of `undated_notices`."""
     keep = keep or []
-    rows = _records(df, NOTICE_RECORDS, keep).withColumn(
-        "publication_date", parse_utc(F.col("r.PublicationDate"))
-    ).where("publication_date is not null")
+    rows = records.where("publication_date is not null")
     title = or_null(F.col("r.Title"))
     titled = rows.withColumn("_title_text", title)
     resolved = with_country(titled, "_title_text", country_candidates(F.col("_title_text")), countries, "_country")
@@ -191,6 +207,7 @@ Parser = Callable[[DataFrame, list[str]], DataFrame]
 
 
 BANK_DATASETS = {"wb_hospital_beds_per_1000", "wb_physicians_per_1000"}
+NOTICE_DATASETS = {"who_outbreaks"}
 
 
 def parsers(countries: DataFrame) -> dict[str, Parser]:

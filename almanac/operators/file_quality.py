@@ -21,7 +21,8 @@ from almanac.operators.quality import (
     flagged,
     profile_counted,
 )
-from almanac.session import checkpointed, shuffle_width
+from almanac.session import checkpointed
+from almanac.sinks.objects import write_objects
 from almanac.sources.csv import CELLS, blank_na
 
 # Position of the pseudo cell that carries the scan range of a line.
@@ -231,17 +232,9 @@ def report_key(file: Column, source: str) -> Column:
 
 
 def write_reports(checked: FileQuality, source: str, path: str) -> str:
-    """Write every report as a text document of its own, in the folder named by its key.
-
-    The lines are range-partitioned in document order, so a large report is written by
-    several tasks as consecutive files.
-    """
+    """Write every report as one JSON document, the object `path`/reports/<key>.qc.json."""
     keyed = report_lines(checked).withColumn("report_key", report_key(F.col("file"), source))
-    order = ["report_key", "part", "row_index"]
-    width = shuffle_width(keyed.sparkSession)
-    ranged = keyed.repartitionByRange(width, *order).sortWithinPartitions(*order)
-    ranged.select("report_key", "line").write.mode("overwrite").partitionBy("report_key").text(path)
-    return path
+    return write_objects(keyed, "report_key", ["part", "row_index"], "line", path)
 
 
 def issue_documents(checked: FileQuality) -> DataFrame:

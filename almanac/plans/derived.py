@@ -9,6 +9,8 @@ from almanac.plans.views import notices, table
 
 # Orders per raw document; a document never grows beyond this.
 DOCUMENT_ORDERS = 5000
+# Order keys per file of lines, several megabytes of text.
+LINE_FILE_ORDERS = 12000
 DATASET = "life_expectancy"
 
 
@@ -50,6 +52,30 @@ def write_sheets(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+def write_notes(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The sign-up sheet with a remark column; header, names and remarks run over several lines."""
+    remark = F.concat(F.lit('first, "quoted"\n'), F.col("name"), F.lit(",\n\nlast"))
+    people(spark, sf_dir).drop("c_custkey").withColumns(
+        {"name": F.concat("name", F.lit("\nnée, X")), "remark,\nfree text": remark}
+    ).write.options(header=True, escape='"').csv(f"{path}/notes")
+    return path
+
+
+def write_line_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Order lines as text files of some thousand orders each; the folders have blanks and signs in their names."""
+    part = F.floor(F.col("l_orderkey") / LINE_FILE_ORDERS)
+    numbers = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    line = F.concat_ws("|", *[F.col(c).cast("string") for c in numbers], F.rpad("l_returnflag", 150, "l_"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("keys 100% #"), part.cast("string")).alias("part"), "l_orderkey", "l_linenumber", line.alias("line")
+    )
+    # a part's keys are bounded, so one task writes it, in order
+    rows.repartition("part").sortWithinPartitions("part", "l_orderkey", "l_linenumber", "line").select(
+        "part", "line"
+    ).write.partitionBy("part").text(path)
+    return path
+
+
 def coded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a three-character country code."""
     order = table(spark, sf_dir, "orders")
@@ -113,6 +139,21 @@ def notice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices(spark, sf_dir).select("o_orderkey", body.alias("body"))
 
 
+def dated_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One outbreak document per order; dates are written in several ways, or cannot be read, or are missing."""
+    key, at = F.col("o_orderkey"), F.col("publication_date")
+    ways = ["yyyy-MM-dd'T'HH:mm:ss'Z'", "MMMM d, yyyy", "d MMM yyyy", "yyyy/M/d", "yyyyMMdd", "yyyy-MM-dd HH:mm"]
+    text = F.when(key % 8 == 6, "soon").when(key % 8 == 7, F.when(key % 3 == 0, ""))
+    for i, way in enumerate(ways):
+        text = text.when(key % 8 == i, F.date_format(at, way))
+    record = F.struct(
+        F.concat(F.lit("don-"), key.cast("string")).alias("DonId"), F.col("title").alias("Title"),
+        text.alias("PublicationDate"),
+    )
+    body = F.to_json(F.struct(F.array(record).alias("value")))
+    return notices(spark, sf_dir).select("o_orderkey", body.alias("body"))
+
+
 def write_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Indicator documents of at most `DOCUMENT_ORDERS` orders as files, named by landing time."""
     chunk = F.floor(F.col("o_orderkey") / DOCUMENT_ORDERS)

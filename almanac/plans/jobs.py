@@ -10,10 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.operators import retail, rfm
-from almanac.operators.documents import BANK_DATASETS, parsers, readable, unreadable_years
+from almanac.operators.documents import (
+    BANK_DATASETS,
+    NOTICE_DATASETS,
+    notice_records,
+    outbreak_rows,
+    parsers,
+    readable,
+    undated_notices,
+    unreadable_years,
+)
 from almanac.sinks import tables as sink
 from almanac.session import checkpointed
-from almanac.sources.csv import read_csv_defensive
+from almanac.sources.csv import read_csv, read_csv_defensive
 from almanac.sources.documents import new_documents
 
 STEPS = ("transform", "daily", "products", "rfm")
@@ -33,6 +42,7 @@ def retail_job(
     if unknown:
         raise ValueError(f"unknown steps {sorted(unknown)}, expected some of {STEPS} or all")
     out = out.rstrip("/")
+    hashes = sink.write_hashes(spark, f"{out}/metadata.json_hashes", raw)
     lines = retail.settle_adjustments(retail.canonical_lines(read_csv_defensive(spark, raw)))
     lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     written: dict[str, str] = {}
@@ -58,12 +68,17 @@ def retail_job(
             stored["rfm"] = spark.read.parquet(path)
             written["rfm"] = sink.write_csv(stored["rfm"], f"{out}/rfm_customers.csv")
         at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        sink.write_metadata(spark, f"{out}/metadata.json", raw, stored, at)
+        sink.write_metadata(spark, f"{out}/metadata.json", raw, hashes, stored, at)
     finally:
         lines.unpersist()
     return written
 
 
+def land_files(spark: SparkSession, source: str, out: str, at: dt.datetime) -> str:
+    """CSV files with one header as Parquet, each row with its file and the time it was taken in."""
+    return sink.write_parquet(sink.with_source(read_csv(spark, source), at), out)
+
+
 def _newest_per_year(rows: DataFrame) -> DataFrame:
     """Of each year only the rows of the document that landed last."""
     documents = rows.select("year", "landed_at", "raw_key").distinct()
@@ -81,7 +96,8 @@ def clean_documents(
     The newest document of a batch wins a year, and a year already stored is replaced
     whole. The manifest is written last, so a failed run is repeated without harm.
     Unreadable documents go to `_quarantine` and are not recorded; World Bank records with a
-    bad year go to `_quarantine_records` and are counted. Returns the numbers by outcome.
+    bad year and notices without a readable date go to `_quarantine_records` with the reason and are
+    counted. Returns the numbers by outcome.
     """
     spark = documents.sparkSession
     base = base.rstrip("/")
@@ -106,13 +122,20 @@ def clean_documents(
             if name not in names:
                 continue
             own = good.where(F.col("dataset") == name)
-            rows = checkpointed(parse(own, keep))  # parsed once for the tally, the choice and the write
+            whole = ["raw_key", "hash", "landed_at"]
+            bad = None
+            if name in NOTICE_DATASETS:  # one parse with two outputs
+                records = checkpointed(notice_records(own, whole))
+                rows = checkpointed(outbreak_rows(records, countries, keep))
+                bad = undated_notices(records, whole)
+            else:
+                rows = checkpointed(parse(own, keep))  # parsed once for the tally, the choice and the write
             if name in BANK_DATASETS:
-                bad = checkpointed(unreadable_years(own, ["raw_key", "hash", "landed_at"]))
-                n = bad.count()
-                if n:
-                    sink.quarantine(bad, f"{base}/_quarantine_records")
-                outcome["bad_records"] += n
+                bad = checkpointed(unreadable_years(own, whole)).withColumn("reason", F.lit("unreadable year"))
+            n = 0 if bad is None else bad.count()
+            if n:
+                sink.quarantine(bad, f"{base}/_quarantine_records")
+            outcome["bad_records"] += n
             tallies.append(
                 rows.groupBy("raw_key", "year").agg(F.count(F.lit(1)).alias("n"))
                 .groupBy("raw_key").agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.plans.derived import DOCUMENT_ORDERS
+from almanac.plans.derived import DOCUMENT_ORDERS, LINE_FILE_ORDERS
 from almanac.plans.health_oracle import TITLES
 
 PEOPLE = """people AS (
@@ -117,7 +117,20 @@ SELECT folder, num_rows, (SELECT COUNT(*) FROM found f WHERE f.folder = counts.f
     "report_issue_lines": f"""WITH {SHEETS} SELECT folder, "column", issue, value, COUNT(*) AS n FROM found
 GROUP BY 1, 2, 3, 4""",
     "report_keys": """SELECT unnest(['people', 'suppliers', 'parts']) AS folder, true AS shaped""",
-    "raw_file_hashes": """SELECT sha256(string_agg(r_name || chr(10), '' ORDER BY r_name)) AS sha256 FROM region""",
+    "report_objects": f"""WITH {SHEETS}, sheets AS (
+  SELECT 'people' AS folder, count(*) AS n FROM customer UNION ALL SELECT 'suppliers', count(*) FROM supplier
+  UNION ALL SELECT 'parts', count(*) FROM part),
+missing AS (SELECT folder, count(*) AS n FROM found GROUP BY folder)
+SELECT sheets.folder, true AS one_object_each, sheets.n AS num_rows, coalesce(missing.n, 0) AS total_issues,
+       coalesce(missing.n, 0) AS listed_issues FROM sheets LEFT JOIN missing ON sheets.folder = missing.folder""",
+    "file_checks_multiline": f"""WITH {PEOPLE} SELECT 'notes' AS folder, (SELECT count(*) FROM people) AS num_rows,
+  CAST(6 AS BIGINT) AS num_columns, 'id|name|age|email|signup_date|remark,' || chr(10) || 'free text' AS columns_present,
+  count(*) AS total_issues FROM issues""",
+    "landed_rows": """SELECT s_name, true AS from_file, TIMESTAMP '2024-05-06 07:08:09' AS ingested_at FROM supplier""",
+    "raw_file_hashes": f"""SELECT l_orderkey // {LINE_FILE_ORDERS} AS part,
+  sha256(string_agg(line || chr(10), '' ORDER BY l_orderkey, l_linenumber, line)) AS sha256 FROM (
+  SELECT l_orderkey, l_linenumber, l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey || '|'
+         || rpad(l_returnflag, 150, 'l_') AS line FROM lineitem) GROUP BY part""",
     "report_verdicts": f"""WITH {REPORTS} SELECT CASE WHEN total_issues = 0 AND NOT lacks THEN 'pass' ELSE 'fail' END AS status,
        COUNT(*) AS files FROM reports GROUP BY 1""",
     "quality_trend": f"""WITH {REPORTS} SELECT date_trunc('day', ts) AS day, COUNT(*) AS files,
@@ -193,6 +206,11 @@ FROM state s LEFT JOIN (SELECT ward, COUNT(*) AS visits_admitted, round(avg(wait
                         FROM waits GROUP BY 1) w ON s.ward = w.ward""",
     "ward_waits": f"WITH {WARDS} SELECT * FROM waits",
     "ward_archive": f"WITH {WARDS} SELECT ward, kind, COUNT(*) AS n FROM patient GROUP BY 1, 2",
+    "notice_dates": """SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 6 THEN o_orderdate END AS publication_date,
+  CASE WHEN o_orderkey % 8 = 6 THEN 'unreadable date' WHEN o_orderkey % 8 = 7 THEN 'no date' END AS reason FROM orders""",
+    "undated_notice_records": """SELECT CASE WHEN o_orderkey % 8 = 6 THEN 'unreadable date' ELSE 'no date' END AS reason,
+  count(*) AS records, (SELECT count(*) FROM orders WHERE o_orderkey % 8 >= 6) AS all_bad,
+  (SELECT count(*) FROM orders) AS documents FROM orders WHERE o_orderkey % 8 >= 6 GROUP BY 1""",
     "ward_late_events": """WITH sent AS (
   SELECT event_id, user_id, event_type, ts,
          least(least((day(ts) - 1) // 10, 2) + CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END, 2) AS delivery FROM events),

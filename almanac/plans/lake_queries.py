@@ -11,7 +11,7 @@ from almanac.operators import documents as docs
 from almanac.operators import file_quality as fq
 from almanac.operators import quality, retail, side_jobs
 from almanac.operators.shape import clean_numeric, ensure_date
-from almanac.plans import derived
+from almanac.plans import derived, jobs
 from almanac.plans.jobs import clean_documents
 from almanac.plans.views import places, retail_lines, table
 from almanac.session import staging_path
@@ -128,21 +128,28 @@ def file_qc_stream(spark, sf_dir):
 def _written_reports(spark, sf_dir):
     path = derived.write_sheets(spark, sf_dir, staging_path(spark, "sheets"))
     checked = fq.check_files(read_csv_cells(spark, [f"{path}/{d}" for d in ("people", "suppliers", "parts")]))
-    written = fq.write_reports(checked, path, staging_path(spark, "report-documents"))
-    return spark.read.text(written).withColumn("folder", F.split("report_key", "/")[1])
+    return fq.write_reports(checked, path, staging_path(spark, "report-documents"))
+
+
+def _report_rows(spark, path, whole=False):
+    """The lines of report documents, or each as one value, with the key and the folder from the object's name."""
+    rows = spark.read.text(path, wholetext=whole, recursiveFileLookup=True)
+    key = F.regexp_extract(F.col("_metadata.file_path"), r"/(reports/[^/]+/[^/]+)$", 1)
+    return rows.select("value", key.alias("report_key"), F.split(key, "/")[1].alias("folder"))
 
 
 @query
 def file_report_documents(spark, sf_dir):
     total = F.regexp_extract("value", r'"total_issues": (\d+)}$', 1)
-    tails = _written_reports(spark, sf_dir).where(total != "")
+    tails = _report_rows(spark, _written_reports(spark, sf_dir)).where(total != "")
     return tails.groupBy("folder").agg(F.sum(total.cast("bigint")).alias("total_issues"))
 
 
 @query
 def report_issue_lines(spark, sf_dir):
     # one line per row with issues, as stored in the documents: "row": [issues]
-    rows = _written_reports(spark, sf_dir).where(F.col("value").rlike(r'^(, )?"\d+": \['))
+    lines = _report_rows(spark, _written_reports(spark, sf_dir))
+    rows = lines.where(F.col("value").rlike(r'^(, )?"\d+": \['))
     listed = F.from_json(
         F.regexp_replace("value", r'^(, )?"\d+": ', ""), "array<struct<column:string,issue:string,value:string>>"
     )
@@ -153,17 +160,59 @@ def report_issue_lines(spark, sf_dir):
 @query
 def report_keys(spark, sf_dir):
     # the sheets of all folders have file names of their own, so the folder must be in the key
-    keys = _written_reports(spark, sf_dir).select("report_key", "folder").distinct()
+    keys = _report_rows(spark, _written_reports(spark, sf_dir)).select("report_key", "folder").distinct()
     shaped = F.col("report_key").rlike(r"^reports/[a-z]+/part-[^/]+[.]csv[.]qc[.]json$")
     return keys.groupBy("folder").agg(F.every(shaped).alias("shaped"))
 
 
+@query
+def report_objects(spark, sf_dir):
+    """Each report is one object that reads as one JSON document."""
+    shape = "num_rows bigint, total_issues bigint, row_issues map<string,array<struct<issue:string>>>"
+    found = _report_rows(spark, _written_reports(spark, sf_dir), whole=True)
+    parsed = found.select("folder", "report_key", F.from_json("value", shape, {"mode": "FAILFAST"}).alias("r"))
+    listed = F.coalesce(F.aggregate(F.map_values("r.row_issues"), F.lit(0), lambda n, i: n + F.size(i)), F.lit(0))
+    return parsed.groupBy("folder").agg(
+        (F.count_distinct("report_key") == F.count(F.lit(1))).alias("one_object_each"),
+        F.sum("r.num_rows").alias("num_rows"),
+        F.sum("r.total_issues").alias("total_issues"),
+        F.sum(listed).cast("bigint").alias("listed_issues"),
+    )
+
+
+@query
+def file_checks_multiline(spark, sf_dir):
+    path = derived.write_notes(spark, sf_dir, staging_path(spark, "notes"))
+    out = staging_path(spark, "reports")
+    run = file_checks.check_arrivals(spark, path, out, staging_path(spark, "offsets"), multiline=True)
+    run.awaitTermination()
+    return spark.read.parquet(f"{out}/files").groupBy(_folder()).agg(
+        F.sum("num_rows").alias("num_rows"),
+        F.max("num_columns").cast("bigint").alias("num_columns"),
+        F.max(F.array_join("columns_present", "|")).alias("columns_present"),
+        F.sum("total_issues").alias("total_issues"),
+    )
+
+
 @query
 def raw_file_hashes(spark, sf_dir):
-    # every file of a table's copy is hashed in pieces; one line per file tells its content
-    path = staging_path(spark, "raw")
-    table(spark, sf_dir, "region").select(F.col("r_name").alias("value")).orderBy("value").coalesce(1).write.text(path)
-    return sink.file_hashes(spark, f"{path}/*.txt").select("sha256")
+    """A table's lines as many files, whose names have blanks and signs, hashed in pieces."""
+    path = derived.write_line_files(spark, sf_dir, staging_path(spark, "raw files"))
+    hashes = sink.file_hashes(spark, f"{path}/*/*.txt")
+    number = F.regexp_extract(F.element_at(F.split("path", "/"), -2), r"(?:%23|#)(\d+)$", 1).cast("bigint")
+    return hashes.select(number.alias("part"), "sha256")
+
+
+@query
+def landed_rows(spark, sf_dir):
+    """Rows taken in from files, with their provenance."""
+    source, out = staging_path(spark, "sheets"), staging_path(spark, "landed")
+    derived.write_sheets(spark, sf_dir, source)
+    jobs.land_files(spark, f"{source}/suppliers", out, dt.datetime(2024, 5, 6, 7, 8, 9))
+    from_file = F.col("source_file").rlike(r"^part-.*[.]csv$")
+    return spark.read.parquet(out).select(
+        F.col("s_name"), from_file.alias("from_file"), F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at")
+    )
 
 
 @query
@@ -221,6 +270,36 @@ def clean_zone_quarantine(spark, sf_dir):
     )
 
 
+@query
+def notice_dates(spark, sf_dir):
+    """Every notice, as a row with its date or for quarantine with the reason."""
+    records = docs.notice_records(derived.dated_notices(spark, sf_dir), ["o_orderkey"])
+    good = docs.outbreak_rows(records, places(spark, sf_dir), ["o_orderkey"]).select(
+        "o_orderkey", F.col("publication_date").cast("timestamp_ntz").alias("publication_date"), F.lit(None).cast("string").alias("reason")
+    )
+    bad = docs.undated_notices(records, ["o_orderkey"]).select(
+        "o_orderkey", F.lit(None).cast("timestamp_ntz").alias("publication_date"), "reason"
+    )
+    return good.unionByName(bad)
+
+
+@query
+def undated_notice_records(spark, sf_dir):
+    """Notices without a readable date, as kept by the job that cleans their documents."""
+    key = F.col("o_orderkey").cast("string")
+    documents = derived.dated_notices(spark, sf_dir).select(
+        F.concat(F.lit("raw/who_outbreaks/"), key, F.lit(".json")).alias("raw_key"), sha256(F.col("body")).alias("hash"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("landed_at"), "body", F.lit("who_outbreaks").alias("dataset"),
+    )
+    base = staging_path(spark, "clean")
+    outcome = clean_documents(documents, places(spark, sf_dir), base)
+    kept = spark.read.parquet(f"{base}/_quarantine_records")
+    return kept.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("records"), F.lit(outcome["bad_records"]).cast("bigint").alias("all_bad"),
+        F.lit(outcome["processed"]).cast("bigint").alias("documents"),
+    )
+
+
 @query
 def outbreak_rows(spark, sf_dir):
     rows = docs.parse_outbreaks(

@@ -9,13 +9,13 @@ import time
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.dates import month_label, year_label
 from almanac.session import checkpointed
+from almanac.sinks.objects import open_store
 
 HASH_PIECE = 1 << 20
 MANIFEST_COLUMNS = (
@@ -151,7 +151,7 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
         for path in batch["path"]:
-            system, place = fs.FileSystem.from_uri(path)
+            system, place = open_store(path)
             digest = hashlib.sha256()
             with system.open_input_stream(place) as stream:
                 while piece := stream.read(HASH_PIECE):
@@ -161,21 +161,24 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of each raw file of any size, read in pieces by the task that has its path."""
+    """SHA-256 of each raw file of any size, read in pieces by the task that has its path; empty files are not listed."""
     # only paths are listed, so no file becomes a value of a row
     files = spark.read.format("binaryFile").load(path).select("path")
     return files.mapInPandas(_hash_files, "path string, sha256 string")
 
 
+def write_hashes(spark: SparkSession, path: str, source: str) -> str:
+    """The hashes of a source's files as a table; written first, so an unreadable file stops a job early."""
+    return write_parquet(file_hashes(spark, source), path)
+
+
 def write_metadata(
-    spark: SparkSession, path: str, source: str, tables: dict[str, DataFrame], at: dt.datetime
+    spark: SparkSession, path: str, source: str, hashes: str, tables: dict[str, DataFrame], at: dt.datetime
 ) -> dict:
-    """Run metadata as one JSON document: time, row counts, columns, source and its hashes.
+    """Run metadata as one JSON document: time, row counts, columns, source and the table of its hashes.
 
-    `tables` are written results read back, so counting them only reads footers. The hashes
-    of the source's files are a table beside the document, which names it.
+    `tables` are written results read back, so counting them only reads footers.
     """
-    hashes = write_parquet(file_hashes(spark, source), path.rstrip("/") + "_hashes")
     meta = {
         "generated_at": at.isoformat() + "Z",
         "rows": {name: df.count() for name, df in tables.items()},

@@ -29,10 +29,15 @@ def read_csv(
 def read_csv_defensive(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """A Latin-1 export as text, with `_line_no` giving the input order. A missing file raises.
 
-    Dates and numbers are parsed later, so no value can make the scan fail.
+    Several files follow each other by name: a line's place is its file, the scan range in
+    the file, and its number there. Dates and numbers are parsed later, so no value can make the scan fail.
     """
-    table = read_csv(spark, path, encoding="ISO-8859-1", multiline=multiline)
-    return table.withColumn("_line_no", F.monotonically_increasing_id())
+    raw = spark.read.options(header="true", **csv_options("ISO-8859-1", multiline)).csv(path)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return raw.select(*[blank_na(F.col(f"`{c}`")).alias(c) for c in raw.columns], place.alias("_line_no"))
 
 
 def cell_schema(width: int) -> str:
@@ -51,8 +56,8 @@ def with_place(rows: DataFrame) -> DataFrame:
 def cells_of(rows: DataFrame, width: int) -> DataFrame:
     """Lines of many files, each with its own header, as arrays of cells.
 
-    Adds a number that grows with the line inside its scan range. A line with more than
-    `width` cells is an error: raise the width rather than lose cells.
+    Adds a number that grows with the line inside its scan range. A line (with `multiline`: a record)
+    with more than `width` cells is an error: raise the width rather than lose cells.
     """
     too_wide = F.raise_error(F.lit(f"a line has more than {width} cells; raise the width"))
     cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
@@ -83,6 +88,21 @@ def widest_line(spark: SparkSession, path: str | list[str], encoding: str = "UTF
     return (lines.agg(F.max(commas)).first()[0] or 0) + 1
 
 
+def widest_record(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> int:
+    """The most cells of a record, where quoted cells may hold commas and line breaks.
+
+    The parser finds the records: read with one column, every wider record is kept as it stands, and
+    the commas outside its quotes are counted.
+    """
+    options = csv_options(encoding, multiline=True) | {"columnNameOfCorruptRecord": "_record"}
+    records = spark.read.options(**options).schema("_c0 string, _record string").csv(path)
+    bare = F.regexp_replace("_record", '"[^"]*"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    # both columns are read, as the parser does not keep records for the kept one alone
+    found = records.select(F.when(F.col("_record").isNotNull(), commas).otherwise(F.lit(0)).alias("n"), "_c0")
+    return (found.agg(F.max("n").alias("n"), F.count("_c0")).first()["n"] or 0) + 1
+
+
 def read_csv_cells(
     spark: SparkSession,
     path: str | list[str],
@@ -94,6 +114,6 @@ def read_csv_cells(
 
     The parser is slow for columns nobody uses, so the width is measured unless given.
     """
-    width = width or widest_line(spark, path, encoding)
+    width = width or (widest_record if multiline else widest_line)(spark, path, encoding)
     reader = spark.read.options(**csv_options(encoding, multiline)).schema(cell_schema(width))
     return cells_of(with_place(reader.csv(path)), width)

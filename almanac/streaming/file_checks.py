@@ -57,7 +57,7 @@ def check_arrivals(
         _store(issue_documents(checked), f"{out}/issues", batch_id)
         _store(checked.columns, f"{out}/columns", batch_id)
         _store(checked.files.withColumn("checked_at", at), f"{out}/files", batch_id)
-        write_reports(checked, source, f"{out}/reports/batch={batch_id}")
+        write_reports(checked, source, out)
 
     return (
         arrivals.writeStream.foreachBatch(check)

@@ -115,8 +115,9 @@ def test_file_check_stream(spark, tmp_path):
     run()
     files = {r.file.split("/")[-1]: r.total_issues for r in spark.read.parquet(f"{out}/files").collect()}
     assert files == {"a.csv": 1, "b.csv": 3}
-    keys = {r.report_key for r in spark.read.text(f"{out}/reports").collect()}
-    assert keys == {"reports/a.csv.qc.json", "reports/b.csv.qc.json"}
+    reports = {p.name: json.loads(p.read_text()) for p in (tmp_path / "out" / "reports").iterdir()}
+    assert set(reports) == {"a.csv.qc.json", "b.csv.qc.json"} and reports["b.csv.qc.json"]["total_issues"] == 3
+    assert not list((tmp_path / "out").glob("_temporary*"))
 
 
 def test_occupancy_over_several_batches(spark, tmp_path):
