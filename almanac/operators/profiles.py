@@ -136,3 +136,18 @@ def spikes(daily: DataFrame, method: str = "iqr", value: str = "transactions", *
     """Only the flagged days, highest first."""
     flagged = flag_spikes(daily, method, value, **limits).where("is_spike")
     return flagged.orderBy(F.col(value).desc_nulls_last(), F.col("date").asc())
+
+
+def daily_sketches(df: DataFrame, column: str, at: str, size: int = 14) -> DataFrame:
+    """A mergeable sketch of the distinct values of each day; 2 ** size registers at most."""
+    return df.groupBy(F.to_date(at).alias("day")).agg(F.hll_sketch_agg(column, size).alias("sketch"))
+
+
+def distinct_over(sketches: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Distinct values of ranges of days (`range`, `first`, `last`) from daily sketches, without the rows.
+
+    The standard error is about 1.04 / sqrt(2 ** size) of the count.
+    """
+    inside = sketches.join(F.broadcast(ranges), F.col("day").between(F.col("first"), F.col("last")))
+    merged = inside.groupBy("range").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("range", F.hll_sketch_estimate("sketch").alias("distinct"))

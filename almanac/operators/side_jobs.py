@@ -5,6 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +57,42 @@ def churn_scores(customers: DataFrame, model: dict, key: str, threshold: float =
     )
 
 
+def train_churn(customers: DataFrame, features: list[str], label: str = "label") -> PipelineModel:
+    """A logistic model of `label` (0 or 1) on scaled numeric columns; missing inputs count as 0."""
+    rows = customers.select(F.col(label).cast("double").alias("label"), *features).fillna(0, features)
+    stages = [
+        VectorAssembler(inputCols=features, outputCol="_features"),
+        StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True),
+        LogisticRegression(featuresCol="_scaled", labelCol="label", probabilityCol="_probability", regParam=0.01),
+    ]
+    return Pipeline(stages=stages).fit(rows)
+
+
+def save_model(model: PipelineModel, path: str) -> str:
+    model.write().overwrite().save(path)
+    return path
+
+
+def model_scores(customers: DataFrame, path: str, key: str, threshold: float = 0.5) -> DataFrame:
+    """Probability and decision of a stored model for each customer."""
+    model = PipelineModel.load(path)
+    features = model.stages[0].getInputCols()
+    scored = model.transform(customers.select(key, *features).fillna(0, features))
+    probability = vector_to_array(F.col("_probability")).getItem(1)
+    return scored.select(key, probability.alias("churn_probability")).withColumn(
+        "churn", F.col("churn_probability") >= threshold
+    )
+
+
+def linear_form(path: str) -> dict:
+    """A stored model as intercept and weights of the unscaled columns, as `churn_scores` takes it."""
+    assembler, scaler, regression = PipelineModel.load(path).stages
+    weights = [w / s if s else 0.0 for w, s in zip(regression.coefficients.toArray(), scaler.std.toArray())]
+    shift = sum(w * m for w, m in zip(weights, scaler.mean.toArray()))
+    named = dict(zip(assembler.getInputCols(), map(float, weights)))
+    return {"intercept": float(regression.intercept - shift), "weights": named}
+
+
 def waste_findings(
     instances: DataFrame,
     volumes: DataFrame,

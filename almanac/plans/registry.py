@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from almanac.plans import health_oracle, health_queries, lake_oracle, lake_queries, retail_oracle, retail_queries
+from almanac.plans import (
+    health_oracle,
+    health_queries,
+    lake_oracle,
+    lake_queries,
+    retail_oracle,
+    retail_queries,
+    run_oracle,
+    run_queries,
+)
 
-_QUERIES = [retail_queries.QUERIES, health_queries.QUERIES, lake_queries.QUERIES]
-_ORACLES = [retail_oracle.ORACLE, health_oracle.ORACLE, lake_oracle.ORACLE]
+_QUERIES = [retail_queries.QUERIES, health_queries.QUERIES, lake_queries.QUERIES, run_queries.QUERIES]
+_ORACLES = [retail_oracle.ORACLE, health_oracle.ORACLE, lake_oracle.ORACLE, run_oracle.ORACLE]
 
 
 def queries() -> dict:

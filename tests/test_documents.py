@@ -217,3 +217,31 @@ def test_gho_source_filters(spark):
     df = bodies(spark, json.dumps({"value": records}))
     assert docs.parse_gho(df).count() == 3
     assert docs.parse_gho(df, countries_only=True, from_year=2015).count() == 1
+
+
+def test_lake_text_leaves_literals_alone():
+    text = "SELECT arbitrary(x), 'arbitrary(x) array[1]', Date_Diff ( 'Days', a, b), array[1, 2], \"from_unixtime(\" , approx_distinct (y)"
+    assert compat.lake_text(text) == (
+        "SELECT any_value(x), 'arbitrary(x) array[1]', Date_Diff ( DAY, a, b), array(1, 2), \"from_unixtime(\" , approx_count_distinct (y)"
+    )
+    with pytest.raises(ValueError, match="unknown date unit"):
+        compat.lake_text("date_add('fortnight', 1, x)")
+
+
+def test_amounts_from_a_column(spark):
+    df = spark.createDataFrame([(1, "2020-01-31"), (-2, "2020-03-31"), (None, "2020-03-31")], "n int, at string")
+    at = F.col("at").cast("timestamp_ntz")
+    got = df.select(compat.date_add("month", F.col("n"), at).cast("string").alias("t")).collect()
+    assert [r.t for r in got] == ["2020-02-29 00:00:00", "2020-01-31 00:00:00", None]
+    assert df.select(compat.date_add("day", 1, at).cast("date").cast("string").alias("t")).first().t == "2020-02-01"
+
+
+def test_notices_with_and_without_dates(spark):
+    dates = ["2024-02-03T04:05:06Z", "3 February 2024", "February 3, 2024", "Feb 3, 2024", "03.02.2024", "", None, "2024-02-03T04:05:06.1234567+02:00"]
+    body = json.dumps({"value": [{"DonId": str(i), "Title": "t", "PublicationDate": d} for i, d in enumerate(dates)]})
+    records = docs.notice_records(spark.createDataFrame([("k", body)], "raw_key string, body string"), ["raw_key"])
+    good = {json.loads(r.record)["DonId"]: r.reason for r in docs.undated_notices(records, ["raw_key"]).collect()}
+    assert good == {"4": "unreadable date", "5": "no date", "6": "no date"}
+    dated = records.where("publication_date is not null")
+    assert dated.count() + len(good) == len(dates)
+    assert {r.d for r in dated.select(F.col("publication_date").cast("date").cast("string").alias("d")).collect()} == {"2024-02-03"}
