@@ -75,7 +75,7 @@ def captures(pages: DataFrame, least: int = LEAST_REVISIT) -> tuple[DataFrame, s
         F.monotonically_increasing_id().alias("uid"),
     )
     path = staging_path(pages.sparkSession, "captures")
-    rows.write.parquet(path)  # fixes the row numbers
+    rows.write.parquet(path, compression="zstd")  # fixes the row numbers
     rows = pages.sparkSession.read.schema(rows.schema).parquet(path)
     big = rows.where(F.col("size") >= least).select("digest", "page_id", "uid")
     held = big.groupBy("digest").agg(F.max(F.struct("page_id", "uid"))["uid"].alias("held_by"))
@@ -127,7 +127,7 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
     sizes = pages.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("html")).alias("bytes")).first()
     most = max(3, 3 * int(ARCHIVE_BYTES * sizes["n"] / max(1, sizes["bytes"] or 0)))
     lines = rows.select(F.explode(F.array(request, answer, metadata)).alias("value"))
-    options = {"lineSep": END, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    options = {"lineSep": END, "compression": "gzip", "zlib.compress.level": "THREE"}
     lines.write.options(maxRecordsPerFile=str(most), **options).text(path)
     pages.sparkSession.createDataFrame([], rows.schema).write.mode("overwrite").parquet(copy)
 
@@ -298,7 +298,7 @@ def assemble(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
         records, light = stored(records.withColumns(numbered), "numbered"), None
     if light is None:
         light = records.withColumns({c: F.when(~is_main, F.col(c)) for c in BLOCK if c in columns})
-    rows = stored(light.where(usable).drop("error"), "records")
+    rows = stored(light.where(usable).drop("error"), "records", "zstd")
     # only repeated rows are named, so the payloads meet a narrow table by file and place
     twice = rows.groupBy("record_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     twice = rows.select("record_id", "file", "place").join(stored(twice, "twice"), "record_id")
@@ -308,12 +308,12 @@ def assemble(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
     again = stored(again, "repeated")
     given = rows.join(again, ["file", "place"], "left_anti").select(*rows.columns)
     named = given.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b")).where("b is not null")
-    links = stored(named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    links = stored(named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links", "zstd")
     placed = edge = given.where(is_main).select(F.col("record_id").alias("node"), F.col("record_id").alias("capture"))
     ids = given.where(~is_main).select(F.col("record_id").alias("node"))
     while True:  # one more link away in each turn, as long as records are left and something is reached
         near = edge.join(links, F.col("node") == F.col("a")).groupBy(F.col("b").alias("node"))
-        edge = stored(near.agg(F.min("capture").alias("capture")).join(placed, "node", "left_anti"), "reached")
+        edge = stored(near.agg(F.min("capture").alias("capture")).join(placed, "node", "left_anti"), "reached", "zstd")
         placed = placed.unionByName(edge)
         ids = stored(ids.join(edge, "node", "left_anti"), "left")
         if ids.isEmpty() or edge.isEmpty():
@@ -352,7 +352,7 @@ def page_captures(records: DataFrame, light: DataFrame | None = None) -> DataFra
         F.col("main.target_uri").alias("target_uri"),
         F.size("requests").alias("n_requests"),
     )
-    flat = stored(flat, "transactions")
+    flat = stored(flat, "transactions", "zstd")
     held = flat.where("record_type <> 'revisit'").select(
         F.col("record_id").alias("target"), F.col("page_id").alias("refers_to"),
         F.col("own_bytes").alias("held_bytes"), F.col("own_sha1").alias("held_sha1"),
