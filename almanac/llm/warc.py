@@ -300,8 +300,10 @@ def assemble(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
         light = records.withColumns({c: F.when(~is_main, F.col(c)) for c in BLOCK if c in columns})
     rows = stored(light.where(usable).drop("error"), "records", "zstd")
     # only repeated rows are named, so the payloads meet a narrow table by file and place
-    twice = rows.groupBy("record_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    twice = rows.select("record_id", "file", "place").join(stored(twice, "twice"), "record_id")
+    # by hash, which is narrower; what only shares the hash is told apart by its id after that
+    hashed = rows.select(F.xxhash64("record_id").alias("_hash"), "record_id", "file", "place")
+    twice = stored(hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "twice")
+    twice = hashed.join(twice.select("_hash"), "_hash")
     at = F.struct("file", "place")
     first = twice.groupBy("record_id").agg(F.min(at).alias("_first"))
     again = twice.join(first, "record_id").where(at != F.col("_first")).select("file", "place")
@@ -311,14 +313,16 @@ def assemble(records: DataFrame, light: DataFrame | None = None) -> DataFrame:
     links = stored(named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links", "zstd")
     placed = edge = given.where(is_main).select(F.col("record_id").alias("node"), F.col("record_id").alias("capture"))
     ids = given.where(~is_main).select(F.col("record_id").alias("node"))
+    reached = None
     while True:  # one more link away in each turn, as long as records are left and something is reached
         near = edge.join(links, F.col("node") == F.col("a")).groupBy(F.col("b").alias("node"))
         edge = stored(near.agg(F.min("capture").alias("capture")).join(placed, "node", "left_anti"), "reached", "zstd")
         placed = placed.unionByName(edge)
+        reached = edge if reached is None else reached.unionByName(edge)
         ids = stored(ids.join(edge, "node", "left_anti"), "left")
         if ids.isEmpty() or edge.isEmpty():
             break
-    found = placed.withColumnRenamed("node", "record_id")
+    found = reached.withColumnRenamed("node", "record_id")
     if not ids.isEmpty():
         found = stored(found.unionByName(_without_main(ids, links)), "placed")
     # a main is its own capture, so its payload is not joined
