@@ -57,6 +57,30 @@ STANDARD_NAMES = {
     "VN": "Viet Nam",
 }
 
+# Official names that no rule gives, and the standard's name for them (fixed values).
+OFFICIAL_NAMES = {
+    "united states of america": "United States",
+    "czech republic": "Czechia",
+    "slovak republic": "Slovakia",
+    "swiss confederation": "Switzerland",
+    "french republic": "France",
+    "hellenic republic": "Greece",
+    "italian republic": "Italy",
+    "portuguese republic": "Portugal",
+    "argentine republic": "Argentina",
+    "gabonese republic": "Gabon",
+    "togolese republic": "Togo",
+    "lebanese republic": "Lebanon",
+    "kyrgyz republic": "Kyrgyzstan",
+    "united mexican states": "Mexico",
+}
+
+# The form of a state before its name, as in "Federal Republic of ..." or "Kingdom of the ...".
+STATE_FORM = (
+    r"^(?:the )?(?:[a-z'’-]+ ){0,4}(?:republic|kingdom|state|states|commonwealth|federation|principality|sultanate|"
+    r"union|duchy) of (?:the )?(?=.)"
+)
+
 LOOKUP_COLUMNS = ["alpha_2", "alpha_3", "numeric", "name", "common_name", "official_name"]
 
 
@@ -83,23 +107,27 @@ def read_countries(spark: SparkSession, path: str) -> DataFrame:
 def country_keys(countries: DataFrame) -> DataFrame:
     """Every lower-case text that names a country, with its struct (name, alpha_2, alpha_3).
 
-    Of countries that share a text the first by name is taken. Aliases follow the
-    standard's name they stand for.
+    A name such as "Korea, Republic of" is a key in its other order too. Of countries that share a
+    text the first by name is taken. Aliases and official names follow the standard's name they stand for.
     """
     columns = [c for c in LOOKUP_COLUMNS if c in countries.columns]
+    head, tail = (F.regexp_extract("name", r"^([^,]+), ([^,]+)$", i) for i in (1, 2))
+    turned = F.when(tail != "", F.regexp_replace(F.lower(F.concat_ws(" ", tail, head)), "^the ", ""))
+    given = [*[F.lower(F.col(c).cast("string")) for c in columns], turned]
     keys = (
         countries.select(
-            F.explode(F.array(*[F.lower(F.col(c).cast("string")) for c in columns])).alias("key"),
+            F.explode(F.array(*given)).alias("key"),
             F.struct("name", "alpha_2", "alpha_3").alias("country"),
         )
         .where("key is not null")
         .groupBy("key")
         .agg(F.min("country").alias("country"))
     )
-    names = F.create_map(*[F.lit(x) for alias, name in ALIASES.items() for x in (name.lower(), alias)])
+    other = ALIASES | OFFICIAL_NAMES
+    names = F.create_map(*[F.lit(x) for alias, name in other.items() for x in (name.lower(), alias)])
     short = keys.select(names[F.col("key")].alias("key"), "country").where("key is not null")
-    longer = keys.where(~F.col("key").isin(*ALIASES)).unionByName(
-        keys.where(F.col("key").isin(*ALIASES)).join(short.select("key"), "key", "left_anti")
+    longer = keys.where(~F.col("key").isin(*other)).unionByName(
+        keys.where(F.col("key").isin(*other)).join(short.select("key"), "key", "left_anti")
     )
     return longer.unionByName(short)
 
@@ -107,12 +135,17 @@ def country_keys(countries: DataFrame) -> DataFrame:
 def with_country(df: DataFrame, title: str, candidates: Column, countries: DataFrame, name: str) -> DataFrame:
     """Add the country of a title as a struct: the first of its candidate texts that names one.
 
-    Each distinct title is looked up once, by an equality join on its candidates that the
-    runtime sends the keys to or shuffles, by their size.
+    Candidates that name none are tried again without the form of state before the name. Each
+    distinct title is looked up once, by an equality join on its candidates that the runtime sends
+    the keys to or shuffles, by their size. Rows without a title do not take part in it.
     """
-    titles = df.select(F.col(title).alias("_title"), candidates.alias("_texts")).where("_title is not null").distinct()
-    texts = titles.select("_title", F.posexplode("_texts").alias("_place", "key"))
+    given = df.where(F.col(title).isNotNull())
+    titles = given.select(F.col(title).alias("_title"), candidates.alias("_texts")).distinct()
+    formless = F.transform("_texts", lambda t: F.regexp_replace(t, STATE_FORM, ""))
+    texts = titles.select("_title", F.posexplode(F.concat("_texts", formless)).alias("_place", "key"))
     found = texts.join(country_keys(countries), "key").groupBy("_title").agg(
         F.min_by("country", "_place").alias(name)
     )
-    return df.join(found, df[title] == found["_title"], "left").drop("_title")
+    named = given.join(found, given[title] == found["_title"], "left").drop("_title")
+    untitled = df.where(F.col(title).isNull()).withColumn(name, F.lit(None).cast(found.schema[name].dataType))
+    return named.unionByName(untitled)

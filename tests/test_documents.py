@@ -245,3 +245,17 @@ def test_notices_with_and_without_dates(spark):
     dated = records.where("publication_date is not null")
     assert dated.count() + len(good) == len(dates)
     assert {r.d for r in dated.select(F.col("publication_date").cast("date").cast("string").alias("d")).collect()} == {"2024-02-03"}
+
+
+def test_official_country_names(spark):
+    wanted = {
+        "Federal Republic of Nigeria": "NGA", "Republic of Kenya": "KEN", "Democratic Republic of the Congo": "COD",
+        "Republic of the Congo": "COG", "United States of America": "USA", "Czech Republic": "CZE", "Republic of Korea": "KOR",
+        "Democratic People's Republic of Korea": "PRK", "U.S. Virgin Islands": "VIR", "Islamic Republic of Iran": "IRN",
+        "Kingdom of Spain": "ESP", "United Republic of Tanzania": "TZA", "Nigeria": "NGA", "State of emergency": None,
+        "United Kingdom": "GBR", "Saint Lucia": "LCA", None: None,
+    }
+    df = spark.createDataFrame([(t,) for t in wanted] * 2, "title string")
+    found = with_country(df, "title", F.array(F.lower("title")), default_countries(spark), "country")
+    rows = found.select("title", "country.alpha_3").collect()
+    assert len(rows) == 2 * len(wanted) and {r.title: r.alpha_3 for r in rows} == wanted
