@@ -13,6 +13,8 @@ share of distinct paragraphs that both have (Dice).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,10 @@ PARAGRAPH = r"[^\n]{1,64}\n?|\n"
 BORDERS = ("0", "8")
 # More buckets than this come from cutting the space between two bounds evenly.
 BOUNDS = 256
+# Numbers that a stretch of ids leaves for the stretches inside a hot id.
+FINE = 1 << 16
+# Copies of one row that a task puts out at a time.
+COPIES_PER_TASK = 10_000
 
 
 def fingerprint(text: Column) -> Column:
@@ -94,31 +100,101 @@ def _bucket(bounds: list[int], cuts: int) -> Column:
     below = F.size(F.filter(all_bounds, lambda b: b <= key))
     low = F.get(all_bounds, below - 1).cast("double")
     high = F.get(all_bounds, below).cast("double")
-    inside = F.when(low.isNull() | high.isNull(), 0).otherwise(F.floor((key - low) * cuts / (high - low)))
+    # large ids round: two bounds may be the same double, and an id the bound above it
+    part = F.floor(F.try_divide((key - low) * cuts, high - low)).cast("long")
+    inside = F.coalesce(F.least(part, F.lit(cuts - 1)), F.lit(0))
     return F.coalesce((below * cuts + inside).cast("long"), F.lit(0).cast("long"))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def _tie(text: Column) -> Column:
+    """A hash of the text that a double holds exactly, as quantiles are taken of doubles."""
+    return F.shiftright(F.xxhash64(text), 11)
+
+
+def _repeated(found: list[int] | None) -> list[int]:
+    """Values that are two quantiles or more, so that each has a stretch's share of the rows."""
+    found = found or []
+    return sorted({a for a, b in zip(found, found[1:]) if a == b})
+
+
+class Layout(NamedTuple):
+    """How rows are dealt: bounds of ids, bounds of the ties of hot ids, and (id, tie) of hot copies."""
+
+    bounds: list[int]
+    cuts: int
+    ties: dict[int | None, list[int]]
+    copies: list[tuple[int | None, int]]
+
+    def bucket(self) -> Column:
+        """A number that ascends with (_id, _tie); a hot id, also null, has several."""
+        # a hot id is a bound, or null: of its stretch only higher ids share it
+        place = F.lit(FINE - 1)
+        for value, ties in self.ties.items():
+            inner = F.size(F.filter(F.lit(ties), lambda t: t <= F.col("_tie"))) if ties else F.lit(0)
+            place = F.when(F.col("_id").eqNullSafe(F.lit(value).cast("long")), inner).otherwise(place)
+        return _bucket(self.bounds, self.cuts) * FINE + place
+
+    def is_copy(self) -> Column:
+        hit = F.lit(False)
+        for value, tie in self.copies:
+            hit = hit | (F.col("_id").eqNullSafe(F.lit(value).cast("long")) & (F.col("_tie") == tie))
+        return hit
+
+
+def layout(docs: DataFrame) -> Layout:
+    """Stretches of like size over (_id, _tie), from quantiles.
+
+    Ids with more rows than a stretch should hold are cut at quantiles of their ties. The driver
+    gets `BOUNDS` quantiles at most, and as many for each hot id, of which there are fewer.
+    """
+    width = shuffle_width(docs.sparkSession)
+    points = min(width, BOUNDS)
+    at = [i / points for i in range(1, points)] or [0.5]
+    quantiles = lambda c: F.percentile_approx(c, at, 20 * points).alias("b")
+    null_id = F.col("_id").isNull()
+    seen = docs.agg(quantiles("_id"), F.count(F.lit(1)).alias("n"), F.count_if(null_id).alias("nulls")).first()
+    near = _repeated(seen["b"])
+    # quantiles are exact up to 2 ** 53 only, so the ids themselves are looked up beside them
+    held = F.coalesce(F.col("_id").cast("double").isin([float(v) for v in near]), F.lit(False)) if near else F.lit(False)
+    held = held | null_id if seen["nulls"] * points > seen["n"] else held
+    ties, copies = {}, []
+    if near or seen["nulls"] * points > seen["n"]:
+        large = F.col("n") * points >= F.lit(seen["n"])
+        by_id = docs.where(held).groupBy("_id").agg(quantiles("_tie"), F.count(F.lit(1)).alias("n"))
+        for row in by_id.where(large).collect():
+            # as many stretches as its share of the rows asks for
+            step = max(1, seen["n"] // row["n"])
+            kept = row["b"][step - 1 :: step]
+            ties[row["_id"]] = sorted(set(kept))
+            copies += [(row["_id"], tie) for tie in _repeated(kept)]
+    bounds = {*(seen["b"] or []), *(v for v in ties if v is not None)}
+    return Layout(sorted(bounds), -(-width // points), ties, copies)
+
+
+def collapsed(docs: DataFrame, dealt: Layout) -> DataFrame:
+    """One row for the hot copies of a row, with `_more`, the number of the others; all other rows as they are."""
+    plain = docs.withColumn("_more", F.lit(0).cast("long"))
+    if not dealt.copies:
+        return plain
+    # combined by the tasks that read them, so one row per task and text is shuffled
+    one = docs.where(dealt.is_copy()).groupBy(*docs.columns).agg((F.count(F.lit(1)) - 1).alias("_more"))
+    return plain.where(~dealt.is_copy()).unionByName(one)
+
+
+def with_next(docs: DataFrame, columns: list[str], dealt: Layout) -> DataFrame:
     """Add next_<column> from the next document by descending _id; the last one gets the first.
 
     Rows with equal ids follow each other by `_tie`; null ids come last. The rows are dealt to stretches
-    of ids of like size, and each stretch also gets a copy of the first row of the next one,
+    of like size, and each stretch also gets a copy of the first row of the next one,
     so one shuffle of the texts is enough. The driver sees one id per stretch.
     """
-    spark = docs.sparkSession
-    width = shuffle_width(spark)
-    points = min(width, BOUNDS)
-    cuts = -(-width // points)
-    at = [i / points for i in range(1, points)]
-    found = docs.agg(F.percentile_approx("_id", at or [0.5], 20 * points).alias("b")).first()["b"]
-    rows = docs.withColumn("_bucket", _bucket(sorted(set(found or [])), cuts))
-    heads = (
-        rows.groupBy("_bucket").agg(F.max(F.struct("_id", "_tie")).alias("head")).orderBy("_bucket").collect()
-    )
+    rows = docs.withColumn("_bucket", dealt.bucket())
+    newest = F.max(F.struct("_id", "_tie")).alias("head")
+    heads = rows.groupBy("_bucket").agg(newest).orderBy("_bucket").collect()
     guests = [
         (r["head"]["_id"], r["head"]["_tie"], heads[(i + 1) % len(heads)]["_bucket"]) for i, r in enumerate(heads)
     ]
-    firsts = spark.createDataFrame(guests, "_gid bigint, _gtie bigint, _gbucket bigint")
+    firsts = docs.sparkSession.createDataFrame(guests, "_gid bigint, _gtie bigint, _gbucket bigint")
     # one row per stretch
     copies = docs.join(
         F.broadcast(firsts), docs["_id"].eqNullSafe(firsts["_gid"]) & (docs["_tie"] == firsts["_gtie"])
@@ -129,6 +205,16 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     return both.select("*", *led).where(~F.col("_guest")).drop("_guest", "_bucket")
 
 
+def multiplied(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as the column says, a row with a high number made by several tasks."""
+    left = F.col(times) - F.col("_part") * COPIES_PER_TASK
+    parts = F.sequence(F.lit(0), F.ceil(F.col(times) / COPIES_PER_TASK).cast("int") - 1)
+    dealt = rows.where(F.col(times) > 0).withColumn("_part", F.explode(parts))
+    dealt = dealt.repartition(shuffle_width(rows.sparkSession), "_part")
+    again = F.explode(F.array_repeat(F.lit(1), F.least(left, F.lit(COPIES_PER_TASK)).cast("int")))
+    return dealt.withColumn("_again", again).drop("_part", "_again")
+
+
 def edited(text: Column, following: Column) -> Column:
     """The text with its last third replaced by as much from the start of another."""
     cut = F.floor(F.length(text) / 3).cast("int")
@@ -140,14 +226,26 @@ def edit_prints(docs: DataFrame) -> DataFrame:
 
     A null text counts as empty; two empty texts are alike to 1. One document is its own
     next. Repeated rows count one by one, equal ids follow each other by the hash of their
-    texts, null ids come last. Other columns are left out; an empty table gives an empty one.
+    texts, null ids come last. An id with a large share of the rows, also null, is dealt to several
+    tasks; so many copies of one row are worked on as one and put out one by one.
+    Other columns are left out; an empty table gives an empty one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     given = docs.select(
-        F.col("doc_id").cast("long").alias("_id"), text.alias("text"), F.xxhash64(text).alias("_tie")
+        F.col("doc_id").cast("long").alias("_id"), text.alias("text"), _tie(text).alias("_tie")
     )
-    printed = given.withColumn("fingerprint", fingerprint(F.col("text")))
-    paired = with_next(printed, ["text", "fingerprint"])
+    dealt = layout(given)
+    printed = collapsed(given, dealt).withColumn("fingerprint", fingerprint(F.col("text")))
+    out = _compared(with_next(printed, ["text", "fingerprint"], dealt))
+    if dealt.copies:
+        # all copies but the last are followed by another one
+        own = [F.col(c).alias(f"next_{c}") for c in ("text", "fingerprint")]
+        followed = _compared(printed.where("_more > 0").select("*", *own))
+        out = out.unionByName(multiplied(followed, "_more"))
+    return out.drop("_more")
+
+
+def _compared(paired: DataFrame) -> DataFrame:
     changed_text = paired.withColumn("_edited", edited(F.col("text"), F.col("next_text")))
     return changed_text.withColumn("edited_fingerprint", fingerprint(F.col("_edited"))).select(
         F.col("_id").alias("doc_id"),
@@ -157,6 +255,7 @@ def edit_prints(docs: DataFrame) -> DataFrame:
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        "_more",
     )
 
 
