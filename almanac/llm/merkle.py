@@ -1,7 +1,9 @@
 """Merkle fingerprints of documents.
 
-The leaves are paragraphs: lines with their line feed, a longer line counting as several of
-at most 64 characters. A section is a run of paragraphs that ends with one whose hash says
+The leaves are paragraphs: lines with their line feed, a line of more than 64 characters
+counting as several. Those end where the text itself says so, after a blank that follows a vowel
+or a sign, 33 to 96 characters on, so that a letter put in moves the next few ends only; a
+stretch without such a place is cut at 96 characters. A section is a run of paragraphs that ends with one whose hash says
 so (one in eight), so an inserted paragraph moves no later section border. A section's hash
 covers its paragraphs' hashes, the root covers the sections. The fingerprint is text:
 root, section hashes, paragraph hashes (the latter two cut to 12 digits).
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from almanac.llm.common import let, table, without
 from almanac.session import shuffle_width
 
-PARAGRAPH = r"[^\n]{1,64}\n?|\n"
+PARAGRAPH = r"[^\n]{0,64}\n|[^\n]{31,94}?[.,;:!?aeiou]\x20|[^\n]{1,96}\n?"
 BORDERS = ("0", "8")
 # More buckets than this come from cutting the space between two bounds evenly.
 BOUNDS = 256
@@ -265,7 +267,7 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op10_merkle_fingerprints": op10_merkle_fingerprints}
 
-_TREE = r"""
+_TREE = """
   SELECT *, sha256(array_to_string(secs, '')) || '|'
          || array_to_string(list_transform(secs, lambda s: substr(s, 1, 12)), '.') || '|'
          || array_to_string(list_transform(leaves, lambda h: substr(h, 1, 12)), '.') AS {name}
@@ -276,7 +278,7 @@ _TREE = r"""
       SELECT *, list_filter(range(1, len(leaves) + 1), lambda i: i = len(leaves)
                  OR substr(leaves[i], 64, 1) IN ('0', '8')) AS ends
       FROM (
-        SELECT *, list_transform(regexp_extract_all({text}, '[^\n]{{1,64}}\n?|\n'), lambda p: sha256(p)) AS leaves
+        SELECT *, list_transform(regexp_extract_all({text}, '{paragraph}'), lambda p: sha256(p)) AS leaves
         FROM {given}
       )
     )
@@ -298,7 +300,7 @@ def _like(a: str, b: str) -> str:
 ORACLE = {
     "op10_merkle_fingerprints": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-own AS ({_TREE.format(name="fingerprint", text="text", given="d")}),
+own AS ({_TREE.format(name="fingerprint", text="text", given="d", paragraph=PARAGRAPH)}),
 paired AS (
   SELECT doc_id, text, fingerprint,
          coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text,
@@ -310,7 +312,7 @@ changed AS (
             || substr(next_text, 1, length(text) // 3) AS edited
   FROM paired
 ),
-both_prints AS ({_TREE.format(name="edited_fingerprint", text="edited", given="changed")})
+both_prints AS ({_TREE.format(name="edited_fingerprint", text="edited", given="changed", paragraph=PARAGRAPH)})
 SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
        CAST({_like("fingerprint", "edited_fingerprint")} AS DOUBLE) AS near_edited,
        CAST({_like("fingerprint", "next_fingerprint")} AS DOUBLE) AS near_next

@@ -62,3 +62,15 @@ def test_hot_ids_are_dealt_to_several_stretches(spark):
     given = copies.select(F.col("doc_id").alias("_id"), text, merkle._tie(text).alias("_tie"))
     kept = merkle.collapsed(given, merkle.layout(given))
     assert kept.count() == 101 and kept.agg(F.sum("_more")).first()[0] == 899
+
+
+def test_paragraphs_cover_the_text_and_realign(spark):
+    line = " ".join(f"word{i * 7919 % 101} runs to the sea" for i in range(60))
+    texts = [(line, "x" + line), (line, line[:900] + "XY" + line[900:]), ("a" * 500, "b" + "a" * 500), (story(3), "Z" + story(3))]
+    df = spark.createDataFrame(texts, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    parts = F.array_join(F.regexp_extract_all(b, F.lit(merkle.PARAGRAPH), F.lit(0)), "")
+    near = merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b))
+    rows = df.select((parts == b).alias("whole"), near.alias("near")).collect()
+    assert all(r["whole"] for r in rows)
+    assert rows[0]["near"] > 0.9 and rows[1]["near"] > 0.85 and rows[3]["near"] > 0
