@@ -193,15 +193,18 @@ def with_next(docs: DataFrame, columns: list[str], dealt: Layout) -> DataFrame:
     rows = docs.withColumn("_bucket", dealt.bucket())
     newest = F.max(F.struct("_id", "_tie")).alias("head")
     heads = rows.groupBy("_bucket").agg(newest).orderBy("_bucket").collect()
-    guests = [
-        (r["head"]["_id"], r["head"]["_tie"], heads[(i + 1) % len(heads)]["_bucket"]) for i, r in enumerate(heads)
-    ]
-    firsts = docs.sparkSession.createDataFrame(guests, "_gid bigint, _gtie bigint, _gbucket bigint")
+    guests = [(r["head"]["_id"], r["head"]["_tie"], (i + 1) % len(heads)) for i, r in enumerate(heads)]
+    firsts = docs.sparkSession.createDataFrame(guests, "_gid bigint, _gtie bigint, _gbucket int")
+    # stretches get numbers without gaps, which are those of their partitions: no two share one by chance
+    known = F.lit([r["_bucket"] for r in heads] or [0])
+    number = F.greatest(F.size(F.filter(known, lambda b: b <= F.col("_bucket"))) - 1, F.lit(0))
+    rows = rows.withColumn("_bucket", number)
     # one row per stretch
     copies = docs.join(
         F.broadcast(firsts), docs["_id"].eqNullSafe(firsts["_gid"]) & (docs["_tie"] == firsts["_gtie"])
     ).select(*docs.columns, F.col("_gbucket").alias("_bucket"), F.lit(True).alias("_guest"))
     both = rows.withColumn("_guest", F.lit(False)).unionByName(copies)
+    both = both.repartitionById(max(1, len(heads)), F.col("_bucket"))
     order = Window.partitionBy("_bucket").orderBy("_guest", F.col("_id").desc_nulls_last(), F.col("_tie").desc())
     led = [F.lead(c).over(order).alias(f"next_{c}") for c in columns]
     return both.select("*", *led).where(~F.col("_guest")).drop("_guest", "_bucket")
