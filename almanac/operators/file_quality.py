@@ -66,16 +66,17 @@ def _ranges(counted: DataFrame) -> DataFrame:
 
 
 def _headers(counted: DataFrame) -> DataFrame:
-    """The header cell of each file and position; a blank one gets a name by position."""
+    """The header cell of each file and position; a blank one gets a name by position.
+
+    A header cell is found by its file and line, so no task gets all cells of a file or position.
+    """
     top = counted.where((F.col("pos") == _RANGE) & (F.col("cell") == "0")).select(
-        "file", F.col("first").alias("header_seq")
+        "file", F.col("first").alias("first_at_top")
     )
     cells = counted.where(F.col("pos") >= 0)
-    joined = cells.join(top, "file")
-    is_header = F.col("first_at_top") == F.col("header_seq")
-    return joined.groupBy("file", "pos").agg(
-        F.max(F.when(is_header, F.col("cell"))).alias("head")
-    ).withColumn(
+    # at most one cell per file and position
+    heads = cells.join(top, ["file", "first_at_top"]).select("file", "pos", F.col("cell").alias("head"))
+    return cells.select("file", "pos").distinct().join(heads, ["file", "pos"], "left").withColumn(
         "name", F.coalesce(F.col("head"), F.concat(F.lit("Unnamed: "), F.col("pos").cast("string")))
     )
 

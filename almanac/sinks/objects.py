@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -126,8 +127,10 @@ def write_objects(lines: DataFrame, key: str, order: list[str], line: str, path:
     """
     spark = lines.sparkSession
     spark.dataSource.register(ObjectSource)
-    sorted_lines = lines.where(lines[key].isNotNull()).repartition(key).sortWithinPartitions(key, *order)
-    sorted_lines.select(lines[key].alias("key"), lines[line].alias("line")).write.format("objects").mode(
+    # no other column is shuffled and sorted with the lines
+    kept = lines.where(lines[key].isNotNull()).select(key, *order, line)
+    sorted_lines = kept.repartition(key).sortWithinPartitions(key, *order)
+    sorted_lines.select(F.col(key).alias("key"), F.col(line).alias("line")).write.format("objects").mode(
         "append"
     ).option("path", path).save()
     return path
