@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.session import shuffle_width
+
 # Cell texts that count as missing (fixed values).
 NA_TEXTS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -112,8 +114,10 @@ def read_csv_cells(
 ) -> DataFrame:
     """The lines of all files under the paths as cells, the header lines among them.
 
-    The parser is slow for columns nobody uses, so the width is measured unless given.
+    The parser is slow for columns nobody uses, so the width is measured unless given. With `multiline` one
+    task parses a file of any size, so its records are dealt out before anything is done with them.
     """
     width = width or (widest_record if multiline else widest_line)(spark, path, encoding)
     reader = spark.read.options(**csv_options(encoding, multiline)).schema(cell_schema(width))
-    return cells_of(with_place(reader.csv(path)), width)
+    cells = cells_of(with_place(reader.csv(path)), width)
+    return cells.repartition(shuffle_width(spark), "file", "seq") if multiline else cells

@@ -218,3 +218,24 @@ def test_column_profile_types_and_empty_table(spark):
     }
     empty = {r.column: (r.non_null_count, r.dtype) for r in quality.column_profile(df.limit(0)).collect()}
     assert empty == {c: (0, "object") for c in "abcde"}
+
+
+def test_headers_are_found_without_sorting_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,,age\n1,id,3\n2,x,age\n")
+    (tmp_path / "b.csv").write_text("age\nid\n")
+    counted = fq._count_cells(read_csv_cells(spark, str(tmp_path)))
+    headers = fq._headers(counted)
+    rows = [(r["file"][-5:], r["pos"], r["head"], r["name"]) for r in headers.collect()]
+    assert sorted(rows, key=lambda r: r[:2]) == [
+        ("a.csv", 0, "id", "id"), ("a.csv", 1, None, "Unnamed: 1"), ("a.csv", 2, "age", "age"), ("b.csv", 0, "age", "age"),
+    ]
+    # all cells of a file's column would meet in one task to be sorted
+    assert "SortAggregate" not in headers._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_of_one_file_are_dealt_out(spark, tmp_path):
+    rows = "".join(f'{i},"text {i}\nmore"\n' for i in range(200))
+    (tmp_path / "a.csv").write_text("id,note\n" + rows)
+    lines = read_csv_cells(spark, str(tmp_path), multiline=True)
+    assert lines.select(F.spark_partition_id()).distinct().count() > 1
+    assert [r["cells"] for r in lines.orderBy("seq").collect()][:2] == [["id", "note"], ["0", "text 0\nmore"]]
