@@ -27,16 +27,28 @@ DAY_MA_ROWS = 7
 # ---- canonical transform ---------------------------------------------------------------
 
 
-def _best_format(df: DataFrame, column: str, formats: list[str]) -> tuple[str, int, int]:
-    """The one format that leaves the fewest dates unread, with its failures and the row count."""
-    text = F.trim(F.col(column))
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
+def _unread(df: DataFrame, column: str, formats: list[str]) -> DataFrame:
+    """One row: the number of rows, and by each format's place the rows whose date it cannot read.
+
+    Each text is tried once and stands for all its rows, as a failed parse is what costs.
+    """
+    texts = df.groupBy(F.trim(F.col(column)).alias("_text")).agg(F.count(F.lit(1)).alias("_rows"))
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
+    return texts.agg(
+        total(F.col("_rows")).alias("rows"),
         *[
-            F.count_if(F.try_to_timestamp(text, F.lit(f)).isNull()).alias(str(i))
+            total(F.when(F.try_to_timestamp("_text", F.lit(f)).isNull(), F.col("_rows"))).alias(str(i))
             for i, f in enumerate(formats)
         ],
-    ).first()
+    )
+
+
+def _best_format(df: DataFrame, column: str, formats: list[str]) -> tuple[str, int, int]:
+    """The one format that leaves the fewest dates unread, with its failures and the row count."""
+    counts = _unread(df, column, formats).first()
     best = min(range(len(formats)), key=lambda i: (counts[str(i)], i))
     return formats[best], counts[str(best)], counts["rows"]
 

@@ -26,6 +26,10 @@ from almanac.sources.csv import read_csv, read_csv_defensive
 from almanac.sources.documents import new_documents
 
 STEPS = ("transform", "daily", "products", "rfm")
+# Columns of the canonical lines that no step reads or writes, so they are not kept for the run.
+AUDIT = (
+    "_invoice_date_orig", "InvoiceDate_parsed", "InvoiceDate_parsed_mf", "is_cancellation_candidate", "negative_revenue",
+)
 
 
 def retail_job(
@@ -44,7 +48,7 @@ def retail_job(
     out = out.rstrip("/")
     hashes = sink.write_hashes(spark, f"{out}/metadata.json_hashes", raw)
     lines = retail.settle_adjustments(retail.canonical_lines(read_csv_defensive(spark, raw)))
-    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+    lines = lines.drop(*AUDIT).persist(StorageLevel.MEMORY_AND_DISK)
     written: dict[str, str] = {}
     stored: dict[str, DataFrame] = {}
     try:

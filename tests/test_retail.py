@@ -179,6 +179,18 @@ def test_dates_take_one_format_per_column(spark):
     assert day_first.where("InvoiceDate_parsed is null").count() == 1
 
 
+def test_each_date_text_is_tried_once(spark):
+    rows = [("1/2/2011 10:00",)] * 3 + [(" 1/2/2011 10:00",), ("bad",), ("bad",), (None,)]
+    unread = retail._unread(spark.createDataFrame(rows, "at string"), "at", ["M/d/yyyy H:mm", "yyyy-MM-dd"])
+    assert unread.first().asDict() == {"rows": 7, "0": 3, "1": 7}
+    # texts are grouped below the aggregate that parses them
+    plan = unread._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and "gettimestamp" in plan.split("Aggregate")[1]
+    assert "gettimestamp" not in plan.split("Aggregate")[2]
+    empty = retail._unread(spark.createDataFrame([], "at string"), "at", ["yyyy-MM-dd"])
+    assert empty.first().asDict() == {"rows": 0, "0": 0}
+
+
 def test_coercion_and_flags_on_text(spark):
     rows = [("c1", "b", "ADJUST x", "abc", "2"), (None, "22752", None, "3", "1.5"), ("5", "B", "Bad Debt", "1", "-1")]
     df = spark.createDataFrame(rows, "` InvoiceNo` string, StockCode string, Description string, Quantity string, UnitPrice string")
