@@ -12,9 +12,9 @@ same tokens, of all documents; the models are two tables of 67 by 67 numbers.
 Not taken for random whatever the models say: tokens without a letter (numbers, rulers), of
 few different characters, and UUIDs, which name things.
 
-Tokens and spans are SQL functions inside the row of its document, so there is no shuffle of
-texts and no group of rows that could grow hot; tasks count and score the tokens learned from in
-batches.
+Tokens, their pairs, scores and spans are SQL functions inside the row of its document, so there
+is no shuffle of texts and no group of rows that could grow hot: what is shuffled are counts of
+pairs, summed in each task before.
 """
 
 from __future__ import annotations
@@ -198,7 +198,7 @@ def _pair_numbers(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, pair, n) of a task's tokens."""
+    """(label, pair, n) of a task's tokens: what `pair_counts` has to give, which the tests hold against it."""
     counts = np.zeros((2, _N * _N), np.int64)
     for batch in batches:
         labels = batch.column("label")
@@ -211,15 +211,29 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def pair_counts(tokens: DataFrame) -> dict[tuple[int, int], int]:
+    """How often each pair of neighbouring characters occurs in the tokens, by label and the pair's number.
+
+    The rows that reach the driver are different pairs of characters, as signs without a number share 0.
+    """
+    number = {c: i + 1 for i, c in enumerate(SYMBOLS)}
+    # a line feed stands for the start; each match is empty, so pairs overlap
+    pairs = F.regexp_extract_all(F.concat(F.lit("\n"), "token"), F.lit("(?s)(?=(..))"), F.lit(1))
+    counts: dict[tuple[int, int], int] = {}
+    for r in tokens.select("label", F.explode(pairs).alias("pair")).groupBy("label", "pair").count().collect():
+        key = (r["label"], number.get(r["pair"][0], 0) * _N + number.get(r["pair"][1], 0))
+        counts[key] = counts.get(key, 0) + r["count"]
+    return counts
+
+
 def ratios_of(tokens: DataFrame) -> list[float]:
     """The log-likelihood ratio of each pair of characters, random over ordinary.
 
-    The driver gets at most 67 * 67 counts per class. Half of the random model is learned, the
+    The driver gets some 68 * 68 counts per class. Half of the random model is learned, the
     other half gives all characters alike, since keys of another alphabet than the known ones
     are random too. Without tokens of a class its learned part is uniform.
     """
-    pairs = tokens.select("label", "token").mapInArrow(_count_pairs, "label int, pair int, n long")
-    counts = {(r["label"], r["pair"]): r["n"] for r in pairs.groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()}
+    counts = pair_counts(tokens)
     of_row = [[sum(counts.get((label, r * _N + k), 0) for k in range(_N)) for r in range(_N)] for label in (0, 1)]
 
     def share(label: int, pair: int) -> float:
@@ -249,17 +263,7 @@ def _score(token: Column, ratios: list[float]) -> Column:
 def margin_of(tokens: DataFrame, ratios: list[float]) -> float:
     """The threshold: `MARGIN`, or more where too many ordinary tokens of the length scanned pass it."""
     ordinary = tokens.where((F.col("label") == 0) & F.col("token").rlike(f"^{TOKEN}$"))
-    ratio = np.array(ratios)
-
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs, starts = _pair_numbers(batch.column("token"))
-            if len(starts) > 1:
-                sums = np.add.reduceat(ratio[pairs], starts[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(sums / np.diff(starts))], ["score"])
-
-    scored = ordinary.select("token").mapInArrow(scores, "score double")
-    tail = scored.agg(F.percentile_approx("score", 1 - FALSE_ALARMS, 10_000).alias("q"))
+    tail = ordinary.agg(F.percentile_approx(_score(F.col("token"), ratios), 1 - FALSE_ALARMS, 10_000).alias("q"))
     return max(MARGIN, tail.first()["q"] or MARGIN)
 
 

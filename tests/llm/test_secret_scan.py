@@ -149,3 +149,20 @@ def test_pairs_are_counted_and_scored_in_batches(spark):
     ratios = [i / 100 for i in range(S._N * S._N)]
     score = tokens.where("label = 0 and length(token) > 16").select(S._score(F.col("token"), ratios).alias("s")).first()["s"]
     assert abs(S.margin_of(tokens, ratios) - score) < 1e-9
+
+
+def test_learns_and_scans_without_python_on_the_executors(spark, monkeypatch):
+    def refused(*args, **more):
+        raise AssertionError("Python on the executors")
+
+    tokens = spark.createDataFrame(
+        [(0, "ab"), (0, ""), (1, "ab/"), (0, None), (0, "a.b-c=d"), (0, "abcdefghijklmnopqrst"), (1, "aaaa")], "label int, token string"
+    )
+    want = tokens.mapInArrow(S._count_pairs, "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(tokens), name, refused)
+    assert S.pair_counts(tokens) == {(r["label"], r["pair"]): r["n"] for r in want}
+    df = spark.createDataFrame([(1, "a password=0123456789abcdef0123 b"), (2, "plain words and kR7vQz2XpL9mWb4TnY8c")], "doc_id bigint, text string")
+    scanned = S.scan(df)
+    assert [s["kind"] for s in scanned.where("doc_id = 1").first()["spans"]] == ["assign", "hex"]
+    assert not re.search("Python|Pandas|Arrow", scanned._jdf.queryExecution().executedPlan().toString())
