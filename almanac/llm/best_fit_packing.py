@@ -15,9 +15,10 @@ its rank among the pieces of its length. Ranks are a count per task plus an offs
 from __future__ import annotations
 
 import bisect
+import functools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,40 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@functools.lru_cache(maxsize=1)
+def _vocabulary(path: str) -> tuple[Callable[[str], list[int]], list[dict]]:
+    """The encoding function of a vocabulary file and its added tokens.
+
+    It is built once per worker process, not per task, as building takes several times the memory of what stays.
+    """
+    import json
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        given = json.load(file)
+    added = given.get("added_tokens") or []
+    model = given.pop("model")
+    # the printable characters that stand for the 256 bytes in such files
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    letter = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+    last = -1
+    for m in model.pop("merges"):
+        merged = model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))]
+        if last >= merged:
+            raise ValueError("the ids of this vocabulary are not in merge order")
+        last = merged
+    ranks = {
+        bytes(letter[c] for c in token): rank
+        for token, rank in model.pop("vocab").items()
+        if all(c in letter for c in token) and not token.startswith("<|")
+    }
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return encoding.encode_ordinary, added
+
+
 class Encoder:
     """Ids of a byte-level vocabulary file, as little-endian unsigned 32-bit bytes.
 
@@ -54,36 +89,15 @@ class Encoder:
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED, added: bool = False):
-        import json
-
-        import public_tokenizers
         import regex
-        import tiktoken
 
-        with open(path, encoding="utf-8") as file:
-            given = json.load(file)
-        model = given["model"]
-        split = [t for t in given.get("added_tokens") or [] if added or not t["special"]]
+        self._encode, tokens = _vocabulary(path)
+        split = [t for t in tokens if added or not t["special"]]
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in split):
             raise ValueError("added tokens that depend on the text beside them are not known")
         self._added = {t["content"]: np.asarray([t["id"]], "<u4").tobytes() for t in split}
         longest_first = sorted(self._added, key=lambda name: (-len(name), name))
         self._at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if split else None
-        # the printable characters that stand for the 256 bytes in such files
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        other = [b for b in range(256) if b not in set(plain)]
-        letter = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-        ranks = {
-            bytes(letter[c] for c in token): rank
-            for token, rank in model["vocab"].items()
-            if all(c in letter for c in token) and not token.startswith("<|")
-        }
-        ids = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-        if any(a >= b for a, b in zip(ids, ids[1:])):
-            raise ValueError("the ids of this vocabulary are not in merge order")
-        self._encode = tiktoken.Encoding(
-            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
         self._wide = regex.compile(r"\s\s|[^\S \n]|\x00").search
         self._known: dict[str, bytes] = {}
         self._remembered = remembered
@@ -238,6 +252,15 @@ def packing_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
     return rows
 
 
+def _plan_frame(spark: SparkSession, rows: list[tuple[int, int, int, int, int]]) -> DataFrame:
+    """The plan as a local relation; a list of rows would start Python workers beside those of the tokenizer."""
+    names = ("_length", "_first", "_count", "_sequence", "offset")
+    columns = [list(c) for c in zip(*rows)] or [[] for _ in names]
+    return spark.createDataFrame(
+        pa.table([pa.array(c, pa.int32() if n == "_length" else pa.int64()) for n, c in zip(names, columns)], list(names))
+    )
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to stored pieces.
 
@@ -249,10 +272,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = runs.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     counts = {r["length"]: r["n"] for r in runs.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    plan = spark.createDataFrame(
-        packing_plan(counts, capacity),
-        "_length int, _first bigint, _count bigint, _sequence bigint, offset bigint",
-    )
+    plan = _plan_frame(spark, packing_plan(counts, capacity))
     by_length = plan.groupBy("_length").agg(
         F.sort_array(F.collect_list(F.struct("_first", "_count", "_sequence", "offset"))).alias("_places")
     )
