@@ -24,11 +24,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy", files: int | None = None) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it back: a cut in the lineage that a
-    lost executor does not undo, with a size the planner knows."""
+    lost executor does not undo, with a size the planner knows.
+
+    `files`: at most so many, for frames that a shuffle deals out over more tasks than their size is
+    worth. On a local file system every file lets the executor start `chmod` four times.
+    """
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    (df if files is None else df.coalesce(files)).write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

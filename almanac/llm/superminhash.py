@@ -43,6 +43,9 @@ BLOCK_CHARS = 4_000_000
 SIZED = 10_000
 # Links whose union-find one task holds in memory, about 100 MB.
 TASK_LINKS = 400_000
+# Documents per file of the frames that are kept between the steps, and distinct shingles per file of texts.
+FILE_ROWS = 20_000
+FILE_SHINGLES = 500_000
 OUTPUTS = ("n_shingles", "component_id", "kept")
 
 _U = np.uint64
@@ -230,14 +233,15 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(_linked, "a binary, b binary")
 
 
-def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, root) for the classes that are linked with another one."""
+def _class_components(classes: DataFrame, docs: DataFrame, files: int, text_files: int) -> DataFrame:
+    """(node, root) for the classes that are linked with another one; frames are kept in so many files at most."""
     entries = classes.select("cls", "size", F.explode(F.array_distinct("bands")).alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(entries.join(shared, "key"), "members")
+    members = stored(entries.join(shared, "key"), "members", files=files)
     wanted = members.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
     given = docs.select(F.col("doc_id").alias("_id"), "text")
-    texts = stored(given.join(wanted, given["_id"].eqNullSafe(wanted["rep"])).select("cls", "text"), "texts")
+    texts = given.join(wanted, given["_id"].eqNullSafe(wanted["rep"])).select("cls", "text")
+    texts = stored(texts, "texts", files=text_files)
     labels, tested, before = None, None, float("inf")
     rest = members
     for chain in range(MOST_CHAINS):
@@ -249,10 +253,12 @@ def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
         chained = chained.where("next_cls is not null" if labels is None else "next_root <> root")
         chained = chained.where(_sizes_allow(F.col("size"), F.col("next_size")))
         pairs = chained.select(*_pairs_of(F.col("cls"), F.col("next_cls"))).distinct()
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs", files=files)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = _merged(labels, stored(_confirm(pairs, texts), "links"))
-        rest = stored(_open(members, labels), "open")
+        # texts are compared in all tasks there are, and the few links go on to few
+        labels = _merged(labels, stored(_confirm(pairs, texts).repartition(files), "links"), files)
+        rest = stored(_open(members, labels), "open", files=files)
         sizes = rest.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
             F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares")
         )
@@ -265,7 +271,7 @@ def _class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
         if got["pairs"] <= got["rows"] or 2 * got["pairs"] > before:
             break
         before = got["pairs"]
-    return _merged(labels, stored(_compared(rest, texts), "links"))
+    return _merged(labels, stored(_compared(rest, texts, files), "links", files=files), files)
 
 
 def _across(frame: pd.DataFrame) -> pd.DataFrame:
@@ -327,7 +333,7 @@ def _units(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([_across(block) for _, block in frame.groupby(["key", "mb", "qb"], sort=False)])
 
 
-def _compared(rest: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(rest: DataFrame, texts: DataFrame, files: int) -> DataFrame:
     """Links between members of one bucket that are in different components, all of them tested.
 
     The members outside a bucket's largest component are its queries. A large bucket is cut
@@ -336,7 +342,7 @@ def _compared(rest: DataFrame, texts: DataFrame) -> DataFrame:
     Only links leave a task.
     """
     known = texts.groupBy("cls").agg(F.max(F.length("text")).alias("chars"))
-    entries = stored(_with_partner(rest).select("key", "cls", "root").join(known, "cls"), "entries")
+    entries = stored(_with_partner(rest).select("key", "cls", "root").join(known, "cls"), "entries", files=files)
     units = 1 + 4 * (entries.agg(F.sum("chars")).first()[0] or 0) // BLOCK_CHARS
     parts = entries.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("chars").alias("chars"))
     blocks = parts.groupBy("key").agg(
@@ -365,13 +371,13 @@ def _compared(rest: DataFrame, texts: DataFrame) -> DataFrame:
     return every.join(texts, "cls").groupBy("cut", "unit").applyInPandas(_units, "a binary, b binary").distinct()
 
 
-def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def _merged(labels: DataFrame | None, links: DataFrame, files: int) -> DataFrame:
     """Labels (node, root) with the components that new links join."""
     if labels is not None:
         for end in ("a", "b"):
             known = labels.select(F.col("node").alias(end), "root")
             links = links.join(known, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
-        links = stored(links.where("a <> b").distinct(), "links")
+        links = stored(links.where("a <> b").distinct(), "links", files=files)
     return _relabelled(labels, components(links))
 
 
@@ -395,19 +401,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prints = stored(
         given.mapInArrow(_prints, "doc_id bigint, n_shingles bigint, cls binary, bands array<bigint>"), "prints"
     )
+    total = prints.agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles")).first()
+    files, text_files = 1 + total["rows"] // FILE_ROWS, 1 + (total["shingles"] or 0) // FILE_SHINGLES
     filled = prints.where("cls is not null")
     classes = stored(
         filled.groupBy("cls").agg(
             F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min("bands").alias("bands")
         ),
         "classes",
+        files=files,
     )
-    labels = _class_components(classes, given)
+    labels = _class_components(classes, given, files, text_files)
     rooted = classes.select("cls", "rep").join(labels, classes["cls"] == labels["node"], "left").select(
         "cls", "rep", F.coalesce("root", "cls").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_class = stored(rooted.join(least, "root").select("cls", "component_id"), "components")
+    of_class = stored(rooted.join(least, "root").select("cls", "component_id"), "components", files=files)
     found = filled.drop("bands").join(of_class, "cls")
     alone = prints.where("cls is null").drop("bands").withColumn("component_id", F.col("doc_id"))
     component = F.col("component_id")

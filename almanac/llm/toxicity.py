@@ -31,6 +31,8 @@ from almanac.llm.superminhash import near_duplicates
 
 # Labelled documents per class from which the shares are learned.
 SAMPLE = {1: 6_000, 0: 12_000}
+# Files at most in which the sample is kept with its components.
+SAMPLE_FILES = 16
 HELD_OUT = 5
 # Documents without toxicity that are added to each share's denominator.
 CAUTION = 5.0
@@ -300,7 +302,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -
     groups = near_duplicates(rows.select(F.col("number").alias("doc_id"), "text")).select(
         F.col("doc_id").alias("number"), "component_id"
     )
-    rows = stored(rows.join(groups, "number").select("text", "component_id", "toxic"), "sample-groups")
+    rows = rows.join(groups, "number").select("text", "component_id", "toxic")
+    rows = stored(rows, "sample-groups", files=SAMPLE_FILES)
     schema = "feature string, value bigint"
 
     def evidence(label: int, wanted: set[str] | None = None) -> DataFrame:

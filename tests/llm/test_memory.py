@@ -5,7 +5,7 @@ import tracemalloc
 import pyarrow as pa
 import tiktoken
 
-from almanac.llm import best_fit_packing, superminhash
+from almanac.llm import best_fit_packing, common, superminhash
 
 
 def test_a_worker_builds_the_vocabulary_once(monkeypatch):
@@ -37,3 +37,26 @@ def test_signatures_of_short_texts_take_bounded_memory():
     finally:
         tracemalloc.stop()
     assert rows == 3000 and most < 60e6
+
+
+def test_near_duplicates_keep_small_frames_in_few_files(spark, tmp_path, monkeypatch):
+    # a file of a local file system costs an executor four short processes, which look as large as itself for a moment
+    kept = []
+    monkeypatch.setattr(
+        common, "staging_path", lambda spark, name: kept.append(tmp_path / f"{len(kept)}-{name}") or str(kept[-1])
+    )
+    texts = [" ".join(f"w{i // 4}x{j}" for j in range(40)) + f" end{i}" * (i % 4) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        rows = superminhash.near_duplicates(docs).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i - i % 4 for i in range(400)}
+    files = {path.name: len(list(path.glob("part-*"))) for path in kept}
+    most = {name: n for name, n in files.items() if not name.endswith(("-forest", "-labels"))}
+    assert len(most) >= 6 and max(most.values()) <= 2, files
