@@ -94,18 +94,38 @@ def changed(one: Column, other: Column) -> Column:
     )
 
 
+def _at_most(values: list[int], key: Column) -> Column:
+    """How many of the ascending values are not above `key`; none are for null.
+
+    A binary search, and `key` is worked out once per row: the values grow with the table.
+    """
+    if not values:
+        return F.lit(0)
+    all_values = F.array(*[F.lit(v).cast("long") for v in values])
+    steps = F.lit([1 << i for i in reversed(range(len(values).bit_length()))])
+
+    def search(k: Column) -> Column:
+        step_up = lambda at, step: F.when(F.get(all_values, at + step - 1) <= k, at + step).otherwise(at)
+        return F.aggregate(steps, F.lit(0), step_up)
+
+    return let(key, search)
+
+
 def _bucket(bounds: list[int], cuts: int) -> Column:
     """The stretch of ids a row belongs to; higher ids have higher numbers, null has 0."""
     if not bounds:
         return F.lit(0).cast("long")
     key, all_bounds = F.col("_id"), F.lit(bounds)
-    below = F.size(F.filter(all_bounds, lambda b: b <= key))
-    low = F.get(all_bounds, below - 1).cast("double")
-    high = F.get(all_bounds, below).cast("double")
-    # large ids round: two bounds may be the same double, and an id the bound above it
-    part = F.floor(F.try_divide((key - low) * cuts, high - low)).cast("long")
-    inside = F.coalesce(F.least(part, F.lit(cuts - 1)), F.lit(0))
-    return F.coalesce((below * cuts + inside).cast("long"), F.lit(0).cast("long"))
+
+    def stretch(below: Column) -> Column:
+        low = F.get(all_bounds, below - 1).cast("double")
+        high = F.get(all_bounds, below).cast("double")
+        # large ids round: two bounds may be the same double, and an id the bound above it
+        part = F.floor(F.try_divide((key - low) * cuts, high - low)).cast("long")
+        inside = F.coalesce(F.least(part, F.lit(cuts - 1)), F.lit(0))
+        return F.coalesce((below * cuts + inside).cast("long"), F.lit(0).cast("long"))
+
+    return let(_at_most(bounds, key), stretch)
 
 
 def _tie(text: Column) -> Column:
@@ -132,7 +152,7 @@ class Layout(NamedTuple):
         # a hot id is a bound, or null: of its stretch only higher ids share it
         place = F.lit(FINE - 1)
         for value, ties in self.ties.items():
-            inner = F.size(F.filter(F.lit(ties), lambda t: t <= F.col("_tie"))) if ties else F.lit(0)
+            inner = _at_most(ties, F.col("_tie"))
             place = F.when(F.col("_id").eqNullSafe(F.lit(value).cast("long")), inner).otherwise(place)
         return _bucket(self.bounds, self.cuts) * FINE + place
 
@@ -183,12 +203,14 @@ def collapsed(docs: DataFrame, dealt: Layout) -> DataFrame:
     return plain.where(~dealt.is_copy()).unionByName(one)
 
 
-def with_next(docs: DataFrame, columns: list[str], dealt: Layout) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], dealt: Layout, **made: Column) -> DataFrame:
     """Add next_<column> from the next document by descending _id; the last one gets the first.
 
     Rows with equal ids follow each other by `_tie`; null ids come last. The rows are dealt to stretches
     of like size, and each stretch also gets a copy of the first row of the next one,
     so one shuffle of the texts is enough. The driver sees one id per stretch.
+
+    `made`: columns worked out after the shuffle, so for each row and copy once, and not shuffled.
     """
     rows = docs.withColumn("_bucket", dealt.bucket())
     newest = F.max(F.struct("_id", "_tie")).alias("head")
@@ -196,15 +218,14 @@ def with_next(docs: DataFrame, columns: list[str], dealt: Layout) -> DataFrame:
     guests = [(r["head"]["_id"], r["head"]["_tie"], (i + 1) % len(heads)) for i, r in enumerate(heads)]
     firsts = docs.sparkSession.createDataFrame(guests, "_gid bigint, _gtie bigint, _gbucket int")
     # stretches get numbers without gaps, which are those of their partitions: no two share one by chance
-    known = F.lit([r["_bucket"] for r in heads] or [0])
-    number = F.greatest(F.size(F.filter(known, lambda b: b <= F.col("_bucket"))) - 1, F.lit(0))
+    number = F.greatest(_at_most([r["_bucket"] for r in heads], F.col("_bucket")) - 1, F.lit(0))
     rows = rows.withColumn("_bucket", number)
     # one row per stretch
     copies = docs.join(
         F.broadcast(firsts), docs["_id"].eqNullSafe(firsts["_gid"]) & (docs["_tie"] == firsts["_gtie"])
     ).select(*docs.columns, F.col("_gbucket").alias("_bucket"), F.lit(True).alias("_guest"))
     both = rows.withColumn("_guest", F.lit(False)).unionByName(copies)
-    both = both.repartitionById(max(1, len(heads)), F.col("_bucket"))
+    both = both.repartitionById(max(1, len(heads)), F.col("_bucket")).withColumns(made)
     order = Window.partitionBy("_bucket").orderBy("_guest", F.col("_id").desc_nulls_last(), F.col("_tie").desc())
     led = [F.lead(c).over(order).alias(f"next_{c}") for c in columns]
     return both.select("*", *led).where(~F.col("_guest")).drop("_guest", "_bucket")
@@ -240,12 +261,13 @@ def edit_prints(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("_id"), text.alias("text"), _tie(text).alias("_tie")
     )
     dealt = layout(given)
-    printed = collapsed(given, dealt).withColumn("fingerprint", fingerprint(F.col("text")))
-    out = _compared(with_next(printed, ["text", "fingerprint"], dealt))
+    kept, own = collapsed(given, dealt), fingerprint(F.col("text"))
+    out = _compared(with_next(kept, ["text", "fingerprint"], dealt, fingerprint=own))
     if dealt.copies:
         # all copies but the last are followed by another one
-        own = [F.col(c).alias(f"next_{c}") for c in ("text", "fingerprint")]
-        followed = _compared(printed.where("_more > 0").select("*", *own))
+        printed = kept.where("_more > 0").withColumn("fingerprint", own)
+        same = [F.col(c).alias(f"next_{c}") for c in ("text", "fingerprint")]
+        followed = _compared(printed.select("*", *same))
         out = out.unionByName(multiplied(followed, "_more"))
     return out.drop("_more")
 

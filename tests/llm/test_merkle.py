@@ -1,6 +1,7 @@
 """Fingerprints of tables with hot ids, against plain Python."""
 
 import hashlib
+from bisect import bisect_right
 from collections import Counter
 
 import pytest
@@ -74,3 +75,34 @@ def test_paragraphs_cover_the_text_and_realign(spark):
     rows = df.select((parts == b).alias("whole"), near.alias("near")).collect()
     assert all(r["whole"] for r in rows)
     assert rows[0]["near"] > 0.9 and rows[1]["near"] > 0.85 and rows[3]["near"] > 0
+
+
+def test_stretches_are_found_by_halving(spark):
+    values = [-(2**63), -5, 0, 7, 8, 2**60 + 3, 2**63 - 1]
+    keys = [v + d for v in values for d in (-1, 0, 1) if -(2**63) <= v + d < 2**63]
+    rows = spark.createDataFrame([(k,) for k in [*keys, None]], "k bigint")
+    for n in range(len(values) + 1):
+        found = {r["k"]: r["n"] for r in rows.select("k", merkle._at_most(values[:n], F.col("k")).alias("n")).collect()}
+        assert found == {k: bisect_right(values[:n], k) for k in keys} | {None: 0}
+
+
+def test_a_row_is_dealt_and_printed_once_however_many_the_stretches(spark):
+    """The list of stretches was gone through for every row, and the bounds again for each of them."""
+    for rows in ([(i, story(i)) for i in range(64)], TABLES["two hot ids"]):
+        printed = merkle.edit_prints(spark.createDataFrame(rows, SCHEMA))
+        plan = printed._jdf.queryExecution().optimizedPlan().toString()
+        dealing = plan[: plan.rindex("RepartitionByExpression")], plan[plan.rindex("RepartitionByExpression") :]
+        assert "filter([" not in plan
+        # once for the text, after the shuffle, and once for the edited text
+        assert [part.count("regexp_extract_all") for part in dealing] == [2, 0]
+
+
+def test_many_stretches_give_the_same_rows(spark):
+    rows = [(i * i, story(i)) for i in range(300)] + [(None, story(i)) for i in range(9)] + [(4, story(i)) for i in range(9)]
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        got = merkle.edit_prints(spark.createDataFrame(rows, SCHEMA)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], r["near_next"] == 1.0) for r in got) == brute(spark, rows)
